@@ -120,3 +120,12 @@ def word_ids(path: str) -> WordIds:
     if path not in _WORD_IDS:
         _WORD_IDS[path] = WordIds(path)
     return _WORD_IDS[path]
+
+
+#: A side is broadcast up to this many narrow rows and joined by a shuffle beyond.
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """df with a broadcast hint if it holds at most `rows` rows; df must be narrow and cheap to count."""
+    return F.broadcast(df) if df.count() <= rows else df

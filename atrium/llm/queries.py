@@ -6,16 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from atrium.llm import q_chat, q_packing, q_tokenfile
+from atrium.llm import q_chat, q_neardup, q_packing, q_quality, q_tokenfile
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": q_chat.op1_chat_format,
+        "op4_near_dedup": q_neardup.op4_near_dedup,
         "op8_packing": q_packing.op8_packing,
+        "op9_quality": q_quality.op9_quality,
         "op10_token_files": q_tokenfile.op10_token_files,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": q_chat.OP1_SQL}
+    return {"op1_chat_format": q_chat.OP1_SQL, "op4_near_dedup": q_neardup.OP4_SQL}
