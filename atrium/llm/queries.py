@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from atrium.llm import q_chat, q_neardup, q_packing, q_quality, q_tokenfile
+from atrium.llm import q_chat, q_neardup, q_packing, q_quality, q_tokenfile, q_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": q_chat.op1_chat_format,
+        "op2_toxicity": q_toxicity.op2_toxicity,
         "op4_near_dedup": q_neardup.op4_near_dedup,
         "op8_packing": q_packing.op8_packing,
         "op9_quality": q_quality.op9_quality,
