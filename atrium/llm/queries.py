@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from atrium.llm import q_chat, q_media, q_neardup, q_packing, q_quality, q_tokenfile, q_toxicity
+from atrium.llm import q_bpe, q_chat, q_media, q_neardup, q_packing, q_quality, q_tokenfile, q_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_chat_format": q_chat.op1_chat_format,
         "op2_toxicity": q_toxicity.op2_toxicity,
         "op4_near_dedup": q_neardup.op4_near_dedup,
+        "op5_bpe": q_bpe.op5_bpe,
         "op6_media": q_media.op6_media,
         "op8_packing": q_packing.op8_packing,
         "op9_quality": q_quality.op9_quality,
