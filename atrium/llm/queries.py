@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from atrium.llm import q_bpe, q_chat, q_media, q_neardup, q_packing, q_quality, q_tokenfile, q_toxicity
+from atrium.llm import q_bpe, q_chat, q_ctw, q_media, q_neardup, q_packing, q_quality, q_tokenfile, q_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_near_dedup": q_neardup.op4_near_dedup,
         "op5_bpe": q_bpe.op5_bpe,
         "op6_media": q_media.op6_media,
+        "op7_lm_score": q_ctw.op7_lm_score,
         "op8_packing": q_packing.op8_packing,
         "op9_quality": q_quality.op9_quality,
         "op10_token_files": q_tokenfile.op10_token_files,
