@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from atrium.llm import q_bpe, q_chat, q_ctw, q_media, q_neardup, q_packing, q_quality, q_tokenfile, q_toxicity
+from atrium.llm import q_bpe, q_chat, q_ctw, q_licenses, q_media, q_neardup, q_packing, q_quality, q_tokenfile, q_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": q_chat.op1_chat_format,
         "op2_toxicity": q_toxicity.op2_toxicity,
+        "op3_license_scan": q_licenses.op3_license_scan,
         "op4_near_dedup": q_neardup.op4_near_dedup,
         "op5_bpe": q_bpe.op5_bpe,
         "op6_media": q_media.op6_media,
