@@ -15,7 +15,7 @@ from atrium.llm.common import SPACES, materialize, text_or_empty
 
 BUCKETS = 1 << 16
 #: Mean log ratio that a document must reach.
-THRESHOLD = -0.2
+THRESHOLD = -0.12
 #: Trusted ids are broadcast up to this count, and joined by a shuffle beyond it.
 BROADCAST_IDS = 1_000_000
 #: Mixes the hashes of two neighbouring words.
