@@ -88,6 +88,20 @@ def window_bands(pairs: np.ndarray, settings: Settings) -> Iterator[np.ndarray]:
         yield key * SHINGLE_FACTORS[0]
 
 
+def least_cover(at: list[int], values: list[int], near: int) -> tuple[int, int]:
+    """The shortest stretch of places (ascending) that holds every distinct value; of equal ones the nearest to `near`."""
+    need, held, best, i = len(set(values)), defaultdict(int), None, 0
+    for j, value in enumerate(values):
+        held[value] += 1
+        while held[values[i]] > 1:
+            held[values[i]] -= 1
+            i += 1
+        if len(held) == need:
+            size = (at[j] - at[i], abs(at[i] - near), at[i])
+            best = min(best, size) if best else size
+    return best[2], best[2] + best[0]
+
+
 class Scanner:
     """Templates with their bands, and the matches of a text."""
 
@@ -134,8 +148,8 @@ class Scanner:
         share = len(np.unique(here[found])) / len(self.sets[t])
         if share < self.settings.containment:
             return None
-        at = np.flatnonzero(found)
-        return share, low + int(at[0]), low + int(at[-1]) + 1
+        first, last = least_cover(np.flatnonzero(found).tolist(), here[found].tolist(), start - low)
+        return share, low + first, low + last + 1
 
     def matches(self, words: np.ndarray, proposed: set[tuple[int, int]]) -> list[tuple[str, float, int, int]]:
         """(template, containment, first word, last word) of verified proposals; of overlapping ones of a template the best."""
