@@ -2,16 +2,42 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from atrium.plans.scenes import ctes
+
 FLAGSHIP = "view_object_visibility"
+MODULES = ("q_objects", "q_pairs", "q_tasks", "q_views", "q_texts")
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register a function under its name; sql names derived views in braces."""
+
+    def add(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            _ORACLES[f.__name__] = ctes(sql)
+        return f
+
+    return add
+
+
+def load() -> None:
+    for name in MODULES:
+        importlib.import_module(f"atrium.plans.{name}")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    load()
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    load()
+    return dict(_ORACLES)
