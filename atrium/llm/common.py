@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,7 +64,7 @@ class WordIds:
     `keep` pieces bound the memory.
     """
 
-    def __init__(self, path: str, keep: int = 400_000):
+    def __init__(self, path: str, keep: int = 250_000):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -126,6 +129,25 @@ def word_ids(path: str) -> WordIds:
 BROADCAST_ROWS = 1_000_000
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most `rows`, so that a task holds few texts as Python objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def tidy() -> None:
+    """Give back what earlier tasks of this Python worker left: kept encoders, and memory that allocators hold.
+
+    Workers outlive tasks, and an executor's memory holds all of its workers.
+    """
+    _WORD_IDS.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if it holds at most `rows` rows; df must be narrow and cheap to count."""
     return F.broadcast(df) if df.count() <= rows else df

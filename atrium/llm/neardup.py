@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from atrium.llm.common import broadcast_if_small, materialize
+from atrium.llm.common import broadcast_if_small, materialize, slices, tidy
 from atrium.llm.components import components
 from atrium.llm.shingles import WordHashes, band_keys, circulant_signatures, set_key, shingle_set, words_lower
 
@@ -53,8 +53,9 @@ def sketches(documents: DataFrame, settings: Settings) -> DataFrame:
     """doc_id, n_shingles, set_key and band keys of every row; null key and no bands for texts without words."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         hashes = WordHashes()
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(hashes.of(words_lower(t)), settings.width) for t in batch.column(1).to_pylist()]
             filled = [i for i, s in enumerate(sets) if len(s)]
             bands: list = [[]] * len(sets)
@@ -129,10 +130,11 @@ def verify(tasks: DataFrame, settings: Settings) -> DataFrame:
     """Links (a, b) of the tasks (grp, i, j, role, rep, text): what is in L or both against what is in R or both."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         hashes = WordHashes()
 
         def rows():
-            for batch in batches:
+            for batch in slices(batches):
                 yield from zip(*(batch.column(c).to_pylist() for c in ("grp", "i", "j", "role", "rep", "text")))
 
         for _, members in itertools.groupby(rows(), key=lambda r: r[:3]):

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from atrium.llm.common import word_ids
+from atrium.llm.common import slices, word_ids
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = PIECES + ", sequence_id long, offset long"
@@ -72,7 +72,7 @@ def cut_documents(documents: DataFrame, tokenizer_path: str, capacity: int = 204
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_ids(tokenizer_path)
-        for batch in batches:
+        for batch in slices(batches):
             out: list[tuple] = []
             doc_ids = batch.column(0).to_pylist()
             for doc_id, raw in zip(doc_ids, encode(batch.column(1).to_pylist())):

@@ -27,7 +27,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """Words' 64-bit hashes, at most `keep` at a time."""
 
-    def __init__(self, keep: int = 400_000):
+    def __init__(self, keep: int = 150_000):
         super().__init__()
         self.keep = keep
 

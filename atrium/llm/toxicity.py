@@ -20,6 +20,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from atrium.llm.common import slices, tidy
+
 #: At most so many labelled rows are learnt from, the first by a hash of the id.
 SAMPLE_ROWS = 20_000
 PREFIXES = (4, 5, 6)
@@ -49,7 +51,7 @@ class Settings:
 class Terms(dict):
     """Places of a word's terms, of those in `used` if it is given, for at most `keep` words at a time."""
 
-    def __init__(self, dimensions: int, used: set[int] | None = None, keep: int = 300_000):
+    def __init__(self, dimensions: int, used: set[int] | None = None, keep: int = 150_000):
         super().__init__()
         self.mask, self.used, self.keep = dimensions - 1, used, keep
 
@@ -121,8 +123,9 @@ def fit(labelled: DataFrame, settings: Settings = Settings()) -> dict:
     """
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         terms, rows = Terms(settings.dimensions), []
-        for batch in batches:
+        for batch in slices(batches):
             rows += [(terms.of(t).astype(np.int32), y) for t, y in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist())]
         machine = Machine(settings, len(rows))
         for epoch in range(settings.epochs):
@@ -145,12 +148,13 @@ def score(documents: DataFrame, model: dict, settings: Settings = Settings()) ->
     schema = documents.select(*columns).schema.add("score", "double")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         terms = Terms(settings.dimensions, set(model["places"]))
         w = np.zeros(settings.dimensions)
         v = np.zeros((settings.dimensions, settings.factors))
         w[model["places"]] = model["weights"]
         v[model["places"]] = np.array(model["factors"]).reshape(-1, settings.factors)
-        for batch in batches:
+        for batch in slices(batches):
             scores = []
             for text in batch.column("text").to_pylist():
                 at = terms.of(text)
