@@ -15,31 +15,35 @@ def view_objects(views: DataFrame, roomed: DataFrame) -> DataFrame:
     return views.join(roomed, ["scene_id", "room_id"])
 
 
-def corner_pixels(prefix: str = "") -> Column:
-    """Array of the corners' (u, v, inside)."""
-
-    def pixel(c):
-        u, v, _ = G.project(c["x"], c["y"], c["z"], width=WIDTH, focal=FOCAL)
-        return F.struct(u.alias("u"), v.alias("v"), G.in_image(u, v, WIDTH).alias("inside"))
-
-    return F.transform(G.corners(prefix), pixel)
-
-
 def with_projection(pairs: DataFrame) -> DataFrame:
-    """Adds the centre's bearing and distance, the count of corners in the image, and their box."""
-    inside = pairs.withColumn("inside", F.filter(corner_pixels(), lambda p: p["inside"]))
+    """Adds the centre's bearing and distance, the count of corners in the image, and their box.
+
+    A level view sees the four upright edges of a box at four depths, so that eight corners are four
+    columns u and eight columns v: plain columns, which compile, and no arrays.
+    """
+    edges = [(f(x, ""), g(y, "")) for x, f in (("x", G.lo), ("x", G.hi)) for y, g in (("y", G.lo), ("y", G.hi))]
+    rays = {}
+    for i, (x, y) in enumerate(edges):
+        dx, dy = x - F.col("px"), y - F.col("py")
+        rays |= {f"r{i}_": dx * F.col("fy") - dy * F.col("fx"), f"d{i}_": dx * F.col("fx") + dy * F.col("fy")}
+    pixels = {}
+    for i in range(4):
+        ahead = F.col(f"d{i}_") > 1e-6
+        pixels[f"u{i}_"] = F.when(ahead, WIDTH / 2 + FOCAL * F.col(f"r{i}_") / F.col(f"d{i}_"))
+        for j, z in enumerate((G.lo("z"), G.hi("z"))):
+            pixels[f"v{i}{j}_"] = F.when(ahead, WIDTH / 2 + FOCAL * (F.col("pz") - z) / F.col(f"d{i}_"))
+    within = {f"i{i}{j}_": G.in_image(F.col(f"u{i}_"), F.col(f"v{i}{j}_"), WIDTH) for i in range(4) for j in range(2)}
+    us = [F.when(F.col(f"i{i}0_") | F.col(f"i{i}1_"), F.col(f"u{i}_")) for i in range(4)]
+    vs = [F.when(F.col(f"i{i}{j}_"), F.col(f"v{i}{j}_")) for i in range(4) for j in range(2)]
     dx, dy, dz = G.center("x") - F.col("px"), G.center("y") - F.col("py"), G.center("z") - F.col("pz")
-    width = F.array_max("inside.u") - F.array_min("inside.u")
-    height = F.array_max("inside.v") - F.array_min("inside.v")
-    return inside.withColumns(
-        {
-            "n_corners": F.size("inside"),
-            "distance": F.sqrt(dx * dx + dy * dy + dz * dz),
-            "bearing": G.signed_yaw(F.col("fx"), F.col("fy"), dx, dy),
-            "box_w": F.coalesce(width, F.lit(0.0)),
-            "box_h": F.coalesce(height, F.lit(0.0)),
-        }
-    ).drop("inside")
+    found = {
+        "n_corners": sum((F.col(c).cast("int") for c in within), F.lit(0)),
+        "distance": F.sqrt(dx * dx + dy * dy + dz * dz),
+        "bearing": G.signed_yaw(F.col("fx"), F.col("fy"), dx, dy),
+        "box_w": F.coalesce(F.greatest(*us) - F.least(*us), F.lit(0.0)),
+        "box_h": F.coalesce(F.greatest(*vs) - F.least(*vs), F.lit(0.0)),
+    }
+    return pairs.withColumns(rays).withColumns(pixels).withColumns(within).withColumns(found).drop(*rays, *pixels, *within)
 
 
 def visible(least_corners: int = 4) -> Column:

@@ -34,9 +34,9 @@ def visible_label_counts(spark, sf_dir):
     return V.visible_labels(seen(spark, sf_dir))
 
 
-@query(f"WITH {SEEN} SELECT view_id, ROUND(MAX(ROUND(box_w * box_h, 6)), 4) AS area FROM seen WHERE n_corners >= 4 GROUP BY 1")
+@query(f"WITH {SEEN} SELECT view_id, ROUND(MAX(ROUND(box_w * box_h, 6)), 1) AS area FROM seen WHERE n_corners >= 4 GROUP BY 1")
 def anchor_area(spark, sf_dir):
-    return V.anchor_object(seen(spark, sf_dir)).select("view_id", F.round("area", 4).alias("area"))
+    return V.anchor_object(seen(spark, sf_dir)).select("view_id", F.round("area", 1).alias("area"))
 
 
 @query(f"""WITH {SEEN} SELECT label, COUNT(*) FILTER (n_corners >= 2 AND box_w * box_h / 160000.0 BETWEEN 0.05 AND 0.70) AS in_scale,
