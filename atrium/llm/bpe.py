@@ -8,14 +8,16 @@
 3. The ids join back to the blocks by number, and a block's documents are reassembled by position.
 4. Decoding joins ids with the table of token bytes, which the vocabulary bounds.
 
-What is shuffled is one packed row per block and shard, and one row of positions per block: a word that
-makes up a third of all text is one number per block.
+What is shuffled is one packed row per block and shard: a word that makes up a third of all text is one
+number per block. Positions are not shuffled at all: each block's are a file in the shared folder, which
+the task that reassembles the block reads.
 """
 
 from __future__ import annotations
 
 import base64
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,12 +29,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from atrium.llm.common import materialize
+from atrium.llm.common import materialize, open_fs, shared_dir, slices, tidy
 
 #: Characters of text in a block, about.
-BLOCK_CHARS = 12 << 20
+BLOCK_CHARS = 10 << 20
 #: Distinct words whose ids a shard's task remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 ASCII_CLASSES = {r"\p{L}": "A-Za-z", r"\p{N}": "0-9"}
 
 
@@ -95,19 +97,26 @@ def numbers_of(stream: np.ndarray) -> np.ndarray:
     return np.where(new, np.cumsum(new) - 1, stream.astype(np.int64) - 1)
 
 
-#: shard -1 holds positions: doc_ids and the block's number stream; other shards hold words.
+#: shard -1 holds a block's doc_ids and the name of its positions' file; other shards hold words.
 BLOCKS = "block long, shard int, doc_ids array<long>, payload binary"
 BLOCK_TYPES = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
 BLOCK_NAMES = ["block", "shard", "doc_ids", "payload"]
 
 
-def explode_words(documents: DataFrame, pattern: str, shards: int, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """Blocks of texts as positions and distinct words (BLOCKS)."""
+def explode_words(documents: DataFrame, pattern: str, shards: int, folder: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """Blocks of texts (BLOCKS): distinct words, and the positions in files below folder.
+
+    A file has a name of its own attempt, and the block's row says which: a task that is run again
+    writes another file, and the row that counts names the file that goes with its numbers.
+    """
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        tidy()
         part, split = TaskContext.get().partitionId() << 24, PreTokens(pattern)
+        system, path = open_fs(folder)
+        attempt = uuid.uuid4().hex
         numbers, ids, streams, chars, block = Numbers(), [], [], 0, part
 
         def finished():
@@ -116,7 +125,10 @@ def explode_words(documents: DataFrame, pattern: str, shards: int, block_chars:
             # A word's first place is where the running maximum of the numbers rises.
             highest = np.maximum.accumulate(np.concatenate([[-1], flat.astype(np.int64)]))
             stream = repeats(flat, np.flatnonzero(highest[1:] > highest[:-1]))
-            rows = [(block, -1, ids, pack(stream, np.array([len(s) for s in streams], np.uint32)))]
+            name = f"{block}-{attempt}"
+            with system.open_output_stream(f"{path}/{name}") as out:
+                out.write(pack(stream, np.array([len(s) for s in streams], np.uint32)))
+            rows = [(block, -1, ids, name.encode())]
             home = np.fromiter((xxhash.xxh3_64_intdigest(w) % shards for w in words), np.int64, len(words))
             order = np.argsort(home, kind="stable")
             edges = np.searchsorted(home[order], np.arange(shards + 1))
@@ -127,7 +139,7 @@ def explode_words(documents: DataFrame, pattern: str, shards: int, block_chars:
                 rows.append((block, shard, None, pack(np.diff(mine, prepend=0).astype(np.uint32), np.array([len(w) for w in some], np.uint32), text)))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), BLOCK_TYPES)], names=BLOCK_NAMES)
 
-        for batch in batches:
+        for batch in slices(batches):
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                 found = split.of(text or "")
                 streams.append(np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found)))
@@ -146,9 +158,10 @@ def encode_words(words: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """The ids of each block's distinct words; a word is encoded once for all blocks."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         bpe = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=read_ranks(ranks_path), special_tokens={})
         known: dict[bytes, bytes] = {}
-        for batch in batches:
+        for batch in slices(batches, 16):
             rows = []
             for block, shard, payload in zip(*(batch.column(c).to_pylist() for c in ("block", "shard", "payload"))):
                 numbers, lengths, text = unpack(payload)
@@ -176,13 +189,17 @@ def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, at: np.ndarr
 ENCODED = "doc_id long, ids array<int>"
 
 
-def reassemble(blocks: DataFrame) -> DataFrame:
+def reassemble(blocks: DataFrame, folder: str) -> DataFrame:
     """doc_id and ids of every document, from positions and the words' ids of the same block."""
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs, stream, sizes, parts, block = [], None, None, [], None
+        tidy()
+        docs, name, parts, block = [], None, [], None
+        system, path = open_fs(folder)
 
         def finished():
+            with system.open_input_stream(f"{path}/{name}") as f:
+                stream, sizes = unpack(f.read())
             of = [unpack(p) for p in parts]
             number = np.concatenate([np.cumsum(p[0], dtype=np.int64) for p in of] or [np.zeros(0, np.int64)])
             n_ids = np.concatenate([p[1] for p in of] or [np.zeros(0, np.uint32)]).astype(np.int64)
@@ -200,12 +217,12 @@ def reassemble(blocks: DataFrame) -> DataFrame:
             if rows:
                 yield encoded_batch(rows)
 
-        for batch in batches:
+        for batch in slices(batches, 16):
             for row_block, shard, ids, payload in zip(*(batch.column(c).to_pylist() for c in BLOCK_NAMES)):
                 if shard < 0:
                     if block is not None:
                         yield from finished()
-                    (stream, sizes), docs, parts, block = unpack(payload), ids, [], row_block
+                    name, docs, parts, block = payload.decode(), ids, [], row_block
                 else:
                     parts.append(payload)
         if block is not None:
@@ -226,9 +243,12 @@ def encode(documents: DataFrame, ranks_path: str, pattern: str, shards: int = 64
     Null and empty texts have no ids; null doc_ids and repeated rows are encoded each; other columns are
     ignored; an empty table gives an empty result. Special tokens are ordinary text.
     """
-    blocks = materialize(explode_words(documents, pattern, shards), "word-blocks")
+    folder = shared_dir(documents.sparkSession, "positions")
+    system, path = open_fs(folder)
+    system.create_dir(path, recursive=True)
+    blocks = materialize(explode_words(documents, pattern, shards, folder), "word-blocks")
     words = blocks.where("shard >= 0").repartition("shard")
-    return reassemble(blocks.where("shard < 0").union(encode_words(words, ranks_path, pattern)))
+    return reassemble(blocks.where("shard < 0").union(encode_words(words, ranks_path, pattern)), folder)
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -239,7 +259,7 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
         table = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             table[rank] = token
-        for batch in batches:
+        for batch in slices(batches):
             lists = batch.column("ids")
             flat, offsets = lists.flatten().to_numpy(), (lists.offsets.to_numpy() - lists.offsets[0].as_py()).tolist()
             text = [b"".join(map(table.__getitem__, flat[a:b].tolist())) for a, b in zip(offsets, offsets[1:])]
