@@ -18,3 +18,29 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     ratios = quality.log_ratios(documents, trusted_ids(table(spark, sf_dir, "labels")))
     return quality.judge(documents, ratios).select("doc_id", *quality.FEATURES, "base_failed", "kept")
+
+
+#: The same rules and ratios; crc32 comes from its rule, byte by byte, over distinct words.
+OP9_SQL = r"""
+WITH steps AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+d AS (SELECT doc_id, COALESCE(text, '') AS text FROM documents),
+w AS (SELECT doc_id, text, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+windows AS (SELECT doc_id, UNNEST(range(1, len(w) - 1)) AS i, UNNEST(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g FROM w WHERE len(w) >= 3),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, COUNT(*) OVER (PARTITION BY doc_id, g) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT doc_id, COUNT(DISTINCT i + k) AS n FROM again, range(3) AS r(k) GROUP BY doc_id),
+base AS (SELECT w.doc_id, w.w, CAST(len(w.w) AS BIGINT) AS n_words, CAST(length(array_to_string(w.w, '')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, COALESCE(c.n, 0) AS n_repeat_words
+  FROM w LEFT JOIN covered c USING (doc_id)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base),
+tokens AS (SELECT doc_id, UNNEST(w) AS x, UNNEST(range(1, len(w) + 1)) AS i FROM w),
+hexed AS (SELECT x, hex(encode(x)) AS h FROM (SELECT DISTINCT x FROM tokens)),
+crcs AS (SELECT x, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(0, len(h) // 2), lambda j: 16 * (instr('0123456789ABCDEF', substr(h, 2 * j + 1, 1)) - 1) + instr('0123456789ABCDEF', substr(h, 2 * j + 2, 1)) - 1)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS c FROM hexed, steps),
+hashed AS (SELECT doc_id, i, c, LEAD(c) OVER (PARTITION BY doc_id ORDER BY i) AS after FROM tokens JOIN crcs USING (x)),
+grams AS (SELECT doc_id, c % 65536 AS bucket FROM hashed UNION ALL SELECT doc_id, (c * 31 + after) % 65536 FROM hashed WHERE after IS NOT NULL),
+trusted AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING MIN(quality) = 1),
+counts AS (SELECT bucket, COUNT(*) AS n, COUNT(t.doc_id) AS good FROM grams g LEFT JOIN trusted t ON g.doc_id = t.doc_id GROUP BY bucket),
+ratios AS (SELECT bucket, LN((good + 1.0) / (SUM(good) OVER () + 65536)) - LN((n + 1.0) / (SUM(n) OVER () + 65536)) AS ratio FROM counts),
+scores AS (SELECT doc_id, AVG(ratio) AS score FROM grams JOIN ratios USING (bucket) GROUP BY doc_id)
+SELECT j.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND s.score >= -0.12 AS kept FROM judged j LEFT JOIN scores s USING (doc_id)
+"""

@@ -25,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": q_chat.OP1_SQL, "op4_near_dedup": q_neardup.OP4_SQL}
+    return {"op1_chat_format": q_chat.OP1_SQL, "op4_near_dedup": q_neardup.OP4_SQL, "op9_quality": q_quality.OP9_SQL}
