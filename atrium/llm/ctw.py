@@ -10,12 +10,14 @@ P(node) = 1/2 KT(node) + 1/2 product of P(children).
    its count in training texts: what is gathered is pre-aggregated per block and grows with the corpus.
 2. Counts meet in shards; a shard holds whole subtrees below the last two bytes and merges blocks one by
    one. The two top levels, at most 256 x 255 nodes, are summed over all shards.
-3. Each shard answers its blocks with code lengths, and blocks sum them up per document.
+3. Each shard answers its blocks with code lengths, and blocks sum them up per document. A block's texts
+   are not shuffled: they are a file in the shared folder, which the task that sums up reads.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,11 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from atrium.llm.bpe import BLOCK_NAMES, BLOCK_TYPES, BLOCKS, pack, unpack
-from atrium.llm.common import materialize
+from atrium.llm.common import materialize, open_fs, shared_dir, slices, tidy
 from atrium.llm.shingles import words_lower
 
 #: Bytes of context.
-DEPTH = 4
+DEPTH = 5
 #: Bytes of text in a block, about; shards of strings, and as many of words.
 BLOCK_BYTES, SHARDS = 8 << 20, 64
 #: Entries that wait to be merged in a shard.
@@ -70,13 +72,18 @@ def delta(keys: np.ndarray) -> np.ndarray:
     return np.diff(keys, prepend=np.uint64(0)).astype(np.uint64)
 
 
-def explode_strings(documents: DataFrame, depth: int, shards: int, block_bytes: int) -> DataFrame:
-    """Blocks of (doc_id, train, text): shard -1 has the texts, [0, shards) strings, [shards, 2 shards) words."""
+def explode_strings(documents: DataFrame, depth: int, shards: int, folder: str, block_bytes: int) -> DataFrame:
+    """Blocks of (doc_id, train, text): shard -1 names the file of the texts, [0, shards) are strings, [shards, 2 shards) words.
+
+    A file has a name of its own attempt, and the block's row says which.
+    """
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        block = TaskContext.get().partitionId() << 24
+        tidy()
+        block, attempt = TaskContext.get().partitionId() << 24, uuid.uuid4().hex
+        system, path = open_fs(folder)
         held: list[tuple] = []
         size = 0
 
@@ -84,8 +91,10 @@ def explode_strings(documents: DataFrame, depth: int, shards: int, block_bytes:
             train = [h[1] for h in held]
             ids, texts = [h[0] for h in held], [h[2] for h in held]
             sizes = np.array([len(t) for t in texts], np.uint32)
-            payload = pack(sizes, np.array(train, np.uint8), np.frombuffer(b"".join(texts), np.uint8))
-            rows = [(block, -1, ids, payload)]
+            name = f"{block}-{attempt}"
+            with system.open_output_stream(f"{path}/{name}") as out:
+                out.write(pack(sizes, np.array(train, np.uint8), np.frombuffer(b"".join(texts), np.uint8)))
+            rows = [(block, -1, ids, name.encode())]
             for first, keys, counts in (
                 (0, *counted([strings_of(t, depth) for t in texts], train)),
                 (shards, *counted([h[3] for h in held], train)),
@@ -99,7 +108,7 @@ def explode_strings(documents: DataFrame, depth: int, shards: int, block_bytes:
                     rows.append((block, first + shard, None, pack(delta(keys[mine]), counts[mine])))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), BLOCK_TYPES)], names=BLOCK_NAMES)
 
-        for batch in batches:
+        for batch in slices(batches):
             for doc_id, train, text in zip(*(c.to_pylist() for c in batch.columns)):
                 words = words_lower(text)
                 held.append((doc_id, train, stream_of(words), word_keys(words)))
@@ -266,7 +275,7 @@ def answer(model: DataFrame, blocks: DataFrame) -> DataFrame:
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = values = None
-        for batch in batches:
+        for batch in slices(batches, 16):
             for block, shard, payload in zip(*(batch.column(c).to_pylist() for c in ("block", "shard", "payload"))):
                 steps, more = unpack(payload)
                 asked = np.cumsum(steps, dtype=np.uint64)
@@ -283,9 +292,11 @@ SCORED = "doc_id long, train boolean, n_bytes long, n_tokens long, n_known long,
 SCORED_TYPES = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
 
 
-def sum_up(rows: DataFrame, depth: int, shards: int, tokens: int, distinct: int) -> DataFrame:
+def sum_up(rows: DataFrame, folder: str, depth: int, shards: int, tokens: int, distinct: int) -> DataFrame:
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs, texts, parts, block = [], None, ([], []), None
+        tidy()
+        docs, name, parts, block = [], None, ([], []), None
+        system, path = open_fs(folder)
         denominator = tokens + distinct + 1
 
         def table(some):
@@ -295,7 +306,8 @@ def sum_up(rows: DataFrame, depth: int, shards: int, tokens: int, distinct: int)
             return keys[order], values[order]
 
         def finished():
-            sizes, train, raw = texts
+            with system.open_input_stream(f"{path}/{name}") as f:
+                sizes, train, raw = unpack(f.read())
             (strings, logs), (words, counts) = table(parts[0]), table(parts[1])
             logs = logs.view(np.float64)
             base = np.log10((counts + 1.0) / denominator)
@@ -309,12 +321,12 @@ def sum_up(rows: DataFrame, depth: int, shards: int, tokens: int, distinct: int)
                 out.append((doc_id, bool(learnt), size, len(mine), int((counts[mine] > 0).sum()), float(base[mine].sum()), score))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), SCORED_TYPES)], names=[x.split()[0] for x in SCORED.split(", ")])
 
-        for batch in batches:
+        for batch in slices(batches, 16):
             for row_block, shard, ids, payload in zip(*(batch.column(c).to_pylist() for c in BLOCK_NAMES)):
                 if shard < 0:
                     if block is not None:
                         yield from finished()
-                    docs, texts, parts, block = ids, unpack(payload), ([], []), row_block
+                    docs, name, parts, block = ids, payload.decode(), ([], []), row_block
                 else:
                     parts[shard >= shards].append(unpack(payload))
         if block is not None:
@@ -332,12 +344,15 @@ def score(documents: DataFrame, depth: int = DEPTH, shards: int = SHARDS, block_
     each; without training rows every bit costs one bit; other columns are ignored; an empty table gives
     an empty result.
     """
-    blocks = materialize(explode_strings(documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("train", F.lit(False)).alias("train"), "text"), depth, shards, block_bytes), "string-blocks")
+    folder = shared_dir(documents.sparkSession, "streams")
+    system, path = open_fs(folder)
+    system.create_dir(path, recursive=True)
+    blocks = materialize(explode_strings(documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("train", F.lit(False)).alias("train"), "text"), depth, shards, folder, block_bytes), "string-blocks")
     merged = materialize(merge_shards(blocks.where("shard >= 0").select(*BLOCK_NAMES)), "string-counts")
     top = top_levels([tuple(r) for r in top_summary(merged.where(F.col("shard") < shards), depth).collect()])
     tokens, distinct = merged.where(F.col("shard") >= shards).mapInArrow(totals, "tokens long, distinct long").agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
     answers = answer(model_rows(merged, depth, shards, top), blocks.where("shard >= 0"))
-    scored = sum_up(blocks.where("shard < 0").union(answers), depth, shards, tokens, distinct)
+    scored = sum_up(blocks.where("shard < 0").union(answers), folder, depth, shards, tokens, distinct)
     return scored.withColumns({"train_tokens": F.lit(tokens).cast("long"), "bits_per_byte": -F.col("score") * math.log2(10) / F.col("n_bytes")})
 
 
