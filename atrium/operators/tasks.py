@@ -119,3 +119,42 @@ def reachable(edges: DataFrame, rooms: DataFrame) -> DataFrame:
         rooms=rooms,
         edges=edges,
     )
+
+
+def replay(steps: DataFrame, move: float = 0.25, turn: float = 30.0) -> DataFrame:
+    """Pose after each action from (0, 0) facing east: running sums of turns, then of moves in the heading they give."""
+    w = by_step().rowsBetween(Window.unboundedPreceding, 0)
+    turned = F.when(F.col("action") == "turn_left", turn).when(F.col("action") == "turn_right", -turn).otherwise(F.lit(0.0))
+    heading = steps.withColumn("yaw", F.sum(turned).over(w))
+    side = F.when(F.col("action") == "move_left", 90.0).when(F.col("action") == "move_right", -90.0).when(F.col("action") == "move_backward", 180.0).otherwise(F.lit(0.0))
+    moved = F.when(F.col("action").startswith("move_"), move).otherwise(F.lit(0.0))
+    angle = F.radians(F.col("yaw") + side)
+    return heading.withColumns({"x": F.sum(moved * F.cos(angle)).over(w), "y": F.sum(moved * F.sin(angle)).over(w)})
+
+
+def metric_summary(tasks: DataFrame, key: str) -> DataFrame:
+    """Overall (null key) and per key: tasks, success rate, mean SPL, steps and path length."""
+    return tasks.rollup(key).agg(F.count("*").alias("n"), F.avg(F.col("success").cast("int")).alias("success_rate"), F.avg("spl").alias("mean_spl"), F.avg("steps_to_success").alias("mean_steps"), F.avg("path_length").alias("mean_length"))
+
+
+def best_trajectory(candidates: DataFrame, key: str) -> DataFrame:
+    """Of each key's candidates the one with most coverage, then fewest steps, then most potential, then the first id."""
+    order = [F.desc("coverage"), F.asc("steps"), F.desc("potential"), F.asc("task_id")]
+    return candidates.withColumn("rank_", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("rank_ = 1").drop("rank_")
+
+
+def turn_actions(angle: Column, step: float = 30.0) -> Column:
+    """Turns that cover an angle: the nearest number of steps, halves up."""
+    n = F.ceil(F.abs(angle) / step - 0.5).cast("int")
+    return F.array_repeat(F.when(angle >= 0, "turn_left").otherwise("turn_right"), F.greatest(n, F.lit(0)))
+
+
+def bind_slots(instances: DataFrame, slots: DataFrame) -> DataFrame:
+    """Slots of each instance with their numbers filled in: a pattern with {i} becomes n slots.
+
+    slots (template_id, slot, repeat) is a small dimension table; instances have template_id, task_id, n.
+    """
+    joined = instances.join(F.broadcast(slots), "template_id")
+    last = F.when(F.col("repeat"), F.col("n") - 1).otherwise(F.lit(0)).cast("int")
+    numbered = joined.where(last >= 0).withColumn("i", F.explode(F.sequence(F.lit(0), last)))
+    return numbered.select("task_id", "template_id", F.replace("slot", F.lit("{i}"), F.col("i").cast("string")).alias("slot"))

@@ -76,6 +76,8 @@ def ctes(query: str) -> str:
     views = ",\n".join(f"{n} AS ({VIEWS[n].format(**plain)})" for n in wanted)
     head = query.lstrip()
     rest = query.format(**plain)
+    if not views:
+        return rest
     if head.upper().startswith("WITH "):
         return f"WITH {views},\n{rest.lstrip()[5:]}"
-    return f"WITH {views}\n{rest}" if views else rest
+    return f"WITH {views}\n{rest}"

@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from atrium.plans import registry
@@ -20,7 +21,7 @@ def oracle():
 
 def canonical(df):
     def plain(v):
-        if v is None or v != v:
+        if pd.isna(v):
             return "null"
         return repr(round(float(v), 5) + 0.0) if isinstance(v, float) else str(v)
 
