@@ -35,6 +35,8 @@ SAMPLE_DOCS, DICTIONARY_BYTES = 2_000, 64 << 10
 #: Of a sampled document's ids, so many bytes at most stand for it in training.
 SAMPLE_BYTES = 32 << 10
 LEVEL = 3
+#: Bytes of frames in a file, about.
+FILE_BYTES = 16 << 20
 
 
 def train_dictionary(documents: DataFrame, tokenizer_path: str, sample: int = SAMPLE_DOCS, size: int = DICTIONARY_BYTES) -> bytes:
@@ -127,7 +129,9 @@ def write_ids(documents: DataFrame, tokenizer_path: str, end_id: int = 1, folder
     frames = compress_documents(documents, tokenizer_path, dictionary, end_id)
     # Compressed once, in the shared folder: choosing the ranges would otherwise encode all texts again.
     frames = materialize(frames, "token-frames")
-    ranged = frames.repartitionByRange(files, "doc_id") if files else frames.repartitionByRange("doc_id")
+    if not files:
+        files = max(1, -(-frames.agg(F.coalesce(F.sum(F.length("frame")), F.lit(0))).first()[0] // FILE_BYTES))
+    ranged = frames.repartitionByRange(files, "doc_id")
     written = ranged.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "frame").mapInArrow(write, "part long, name string, n_docs long, n_ids long")
     written = materialize(written, "token-files")  # one row per file
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
