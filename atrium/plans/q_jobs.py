@@ -66,7 +66,7 @@ def display_labels(spark, sf_dir):
     return s.groupBy("label", shown.alias("shown")).agg(F.count("*").alias("n"))
 
 
-@query("""WITH y AS (SELECT task_id, step, action, SUM(CASE action WHEN 'turn_left' THEN 30.0 WHEN 'turn_right' THEN -30.0 ELSE 0.0 END) OVER (PARTITION BY task_id ORDER BY step) AS yaw FROM {traj_steps}),
+@query("""WITH y AS (SELECT task_id, step, action, SUM(CAST(CASE action WHEN 'turn_left' THEN 30 WHEN 'turn_right' THEN -30 ELSE 0 END AS DOUBLE)) OVER (PARTITION BY task_id ORDER BY step) AS yaw FROM {traj_steps}),
 m AS (SELECT *, CASE WHEN action LIKE 'move_%' THEN 0.25 ELSE 0.0 END AS d, RADIANS(yaw + CASE action WHEN 'move_left' THEN 90.0 WHEN 'move_right' THEN -90.0 WHEN 'move_backward' THEN 180.0 ELSE 0.0 END) AS a FROM y)
 SELECT task_id, step, ROUND(yaw, 3) AS yaw, ROUND(SUM(d * COS(a)) OVER w, 4) + 0.0 AS x, ROUND(SUM(d * SIN(a)) OVER w, 4) + 0.0 AS y FROM m WINDOW w AS (PARTITION BY task_id ORDER BY step)""")
 def replayed_actions(spark, sf_dir):
