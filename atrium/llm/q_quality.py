@@ -9,9 +9,14 @@ from atrium.llm import quality
 from atrium.llm.common import table
 
 
+def verdicts(labels: DataFrame) -> DataFrame:
+    """The least quality that a label gives each document."""
+    return labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+
+
 def trusted_ids(labels: DataFrame) -> DataFrame:
     """Documents that some label trusts and none distrusts."""
-    return labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1").select("doc_id")
+    return verdicts(labels).where("quality = 1").select("doc_id")
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

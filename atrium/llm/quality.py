@@ -4,14 +4,19 @@ Every document's words and pairs of neighbouring words fall into `buckets` hash
 over the buckets are counted, one from the documents that a label trusts and one from the whole corpus,
 both smoothed by one per bucket. A document's score is the mean over its n-grams of
 log(p_trusted / p_corpus); it is kept if it passes the counted rules and its score reaches the threshold.
+
+The pipeline judges by crossed ratios instead: no document is scored with trusted counts of its own text, and
+the threshold is fitted to the labelled documents' scores. So a score doesn't depend on being labelled.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from atrium.llm.common import SPACES, materialize, text_or_empty
+from atrium.llm.common import SPACES, broadcast_if_small, materialize, text_or_empty
 
 BUCKETS = 1 << 16
 #: Mean log ratio that a document must reach.
@@ -21,6 +26,10 @@ BROADCAST_IDS = 1_000_000
 #: Mixes the hashes of two neighbouring words.
 PAIR_FACTOR = 31
 SYMBOLS = "[#*$%&|<>]"
+#: Parts of the trusted documents, dealt by text; a document's score leaves its own part out.
+FOLDS = 8
+#: Labelled scores are counted in steps of this width.
+SCORE_STEP = 0.01
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -97,13 +106,63 @@ def log_ratios(documents: DataFrame, trusted: DataFrame, buckets: int = BUCKETS)
     return filled.select("bucket", (F.log(smoothed("good", good)) - F.log(smoothed("every", every))).alias("ratio"))
 
 
-def judge(documents: DataFrame, ratios: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Each document's counted features, base_failed, score and kept, with the columns in `carry`.
+def crossed_ratios(documents: DataFrame, trusted: DataFrame, folds: int = FOLDS, buckets: int = BUCKETS) -> DataFrame:
+    """(bucket, ratios) for every bucket: per fold, the log of how much more often its grams are trusted than all grams are.
 
-    Null texts count as empty; a document without words fails the rules and has score 0. Repeated rows
-    are judged each by itself; columns beside doc_id, text and `carry` are ignored. Any text is judged
-    whole, and an empty table gives an empty result. `ratios` has one row per bucket and is broadcast.
+    The share is (good + share of all) / (every + 1), with the trusted counts of the other folds: a gram that
+    the corpus hardly has stays near 0 at any size, one that is common and never trusted falls far below.
+    All documents and all trusted ids count; a fold whose others trust nothing has ratio 0.
     """
+    marked = broadcast_if_small(trusted.select(F.col("doc_id").alias("trusted_id")))
+    texts = documents.select("doc_id", "text").join(marked, F.col("doc_id") == F.col("trusted_id"), "left")
+    rows = texts.select(F.when(F.col("trusted_id").isNotNull(), fold_of(F.xxhash64("text"), folds)).alias("fold"), words_of(text_or_empty()).alias("words"))
+    grams = with_buckets(rows, buckets).select("fold", F.explode("grams").alias("bucket"))
+    parts = [F.count_if(F.col("fold") == f).alias(f"good{f}") for f in range(folds)]
+    counted = materialize(grams.groupBy("bucket").agg(F.count("*").alias("every"), *parts), "ngram-counts")
+    total, *goods = counted.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("every", *(f"good{f}" for f in range(folds))))).first()
+    filled = documents.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(F.broadcast(counted), "bucket", "left").na.fill(0)
+    whole = sum((F.col(f"good{f}") for f in range(folds)), F.lit(0))
+
+    def ratio(f: int) -> Column:
+        share = (sum(goods) - goods[f]) / max(total, 1)
+        return F.log((whole - F.col(f"good{f}") + share) / (F.col("every") + 1.0) / share) if share else F.lit(0.0)
+
+    return filled.select("bucket", F.array(*map(ratio, range(folds))).alias("ratios"))
+
+
+def fold_of(key: Column, folds: int = FOLDS) -> Column:
+    return F.pmod(key, F.lit(folds)).cast("int")
+
+
+def fit_threshold(scored: DataFrame, verdicts: DataFrame) -> float:
+    """The score that parts labelled good documents from labelled junk with the least sum of both error shares.
+
+    scored has (doc_id, base_failed, score), verdicts (doc_id, quality); what fails the rules doesn't count.
+    Of equally good scores it is the middle; without labelled junk the least score of a good document, and
+    without good documents no score is too low.
+    """
+    labels = verdicts.select(F.col("doc_id").alias("labelled_id"), "quality").where("quality IS NOT NULL")
+    known = scored.where(~F.col("base_failed")).join(labels, F.col("doc_id") == F.col("labelled_id"))
+    steps = known.groupBy(F.floor(F.col("score") / SCORE_STEP).alias("step")).agg(F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") != 1).alias("junk"))
+    counts = sorted((r.step, r.good, r.junk) for r in steps.collect())
+    n_good, n_junk = sum(c[1] for c in counts), sum(c[2] for c in counts)
+    if not n_good:
+        return -math.inf
+    if not n_junk:
+        return next(step for step, good, _ in counts if good) * SCORE_STEP
+    # Errors are compared as whole numbers; what a cut loses and keeps is the same between two steps that occur.
+    rejected, kept, errors = 0, n_junk, {}
+    for step, good, junk in counts:
+        errors[step] = rejected * n_junk + kept * n_good
+        rejected, kept = rejected + good, kept - junk
+    at = [step for step, _, _ in counts]
+    last = min(reversed(at), key=errors.__getitem__)
+    before = max((step + 1 for step in at if step < last), default=last)
+    return (before + last) / 2 * SCORE_STEP
+
+
+def scores(documents: DataFrame, ratios: DataFrame, ratio: Column, buckets: int = BUCKETS, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Each document's counted features, base_failed and score, the mean of `ratio` over its n-grams, with the columns in `carry`."""
     rows = with_counts(documents.select(*dict.fromkeys((*carry, "text"))).withColumn("row_", F.monotonically_increasing_id()))
     rows = rows.withColumn("base_failed", base_failed())
     kept_columns = [*carry, *FEATURES, "base_failed"]
@@ -111,5 +170,15 @@ def judge(documents: DataFrame, ratios: DataFrame, threshold: float = THRESHOLD,
     rows = with_buckets(rows.withColumn("words", F.when(~F.col("base_failed"), F.col("words"))), buckets)
     grams = rows.select("row_", *kept_columns, F.explode_outer("grams").alias("bucket"))
     looked = grams.join(F.broadcast(ratios), "bucket", "left")
-    scored = looked.groupBy("row_", *kept_columns).agg(F.coalesce(F.avg("ratio"), F.lit(0.0)).alias("score")).drop("row_")
+    return looked.groupBy("row_", *kept_columns).agg(F.coalesce(F.avg(ratio), F.lit(0.0)).alias("score")).drop("row_")
+
+
+def judge(documents: DataFrame, ratios: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Each document's counted features, base_failed, score and kept, with the columns in `carry`.
+
+    Null texts count as empty; a document without words fails the rules and has score 0. Repeated rows
+    are judged each by itself; columns beside doc_id, text and `carry` are ignored. Any text is judged
+    whole, and an empty table gives an empty result. `ratios` has one row per bucket and is broadcast.
+    """
+    scored = scores(documents, ratios, F.col("ratio"), buckets, carry)
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))

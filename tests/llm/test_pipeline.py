@@ -1,3 +1,6 @@
+import numpy as np
+import pytest
+
 import corpus_pipeline
 from atrium.llm import queries
 
@@ -21,3 +24,19 @@ def test_stages_keep_columns_and_clean_documents(spark, tmp_path):
 
 def test_every_operator_has_a_query():
     assert sorted(int(n.split("_")[0][2:]) for n in queries.queries()) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("n", [200, 1000, 10_000])
+def test_unlabelled_clean_documents_stay_at_every_size(spark, tmp_path, n):
+    rng = np.random.default_rng(n)
+    clean = [f"w{i}" for i in range(5000)]
+    junk = [f"sale{i}" for i in range(40)]
+    rare = 1 / np.arange(10, 5010)
+    kind = np.where(np.arange(n) % 17 == 0, "junk", "clean")
+    texts = [" ".join(rng.choice(junk, 80) if k == "junk" else rng.choice(clean, 120, p=rare / rare.sum())) for k in kind]
+    labelled = rng.random(n) < 0.4
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spark.createDataFrame([(i, int(kind[i] == "clean"), 0) for i in range(n) if labelled[i]], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = np.isin(np.arange(n), [r.doc_id for r in corpus_pipeline.quality_stage(spark, docs, str(tmp_path)).select("doc_id").collect()])
+    for some in (labelled, ~labelled):
+        assert kept[some & (kind == "clean")].mean() >= 0.95 and kept[some & (kind == "junk")].mean() <= 0.05
