@@ -35,6 +35,40 @@ TEMPLATES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+    "Apache-1.1": "Licensed under the Apache License, Version 1.1.",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "LGPL-header": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "AGPL-header": "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+    "CC-BY-NC-4.0-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary",
+}
+#: Words that a match must hold, since they tell a license or version from its neighbours.
+REQUIRED = {
+    "AGPL-3.0": ("affero", "3"),
+    "AGPL-header": ("affero",),
+    "Apache-1.1": ("apache", "1.1"),
+    "Apache-2.0": ("apache", "2.0"),
+    "CC-BY-4.0": ("attribution", "4.0"),
+    "CC-BY-NC-4.0": ("by-nc", "4.0"),
+    "CC-BY-NC-4.0-notice": ("attribution-noncommercial", "4.0"),
+    "CC-BY-SA-4.0": ("attribution-sharealike", "4.0"),
+    "CC0-1.0": ("waived",),
+    "EPL-2.0": ("eclipse", "2.0"),
+    "GPL-2.0": ("general", "2"),
+    "GPL-3.0": ("general", "3"),
+    "GPL-header": ("general",),
+    "LGPL-2.1": ("lesser", "2.1"),
+    "LGPL-3.0": ("lesser", "3"),
+    "LGPL-header": ("lesser",),
+    "MIT": ("mit",),
+    "MPL-2.0": ("mozilla", "2.0"),
 }
 SHINGLE_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 BITS = 20
@@ -111,6 +145,7 @@ class Scanner:
         sequences = [self.words.of(templates[n]) for n in self.names]
         if short := [n for n, s in zip(self.names, sequences) if len(s) < settings.window]:
             raise ValueError(f"templates of fewer than {settings.window} words: {short}")
+        self.required = [self.words.of(" ".join(REQUIRED.get(n, ()))) for n in self.names]
         self.lengths = [len(s) for s in sequences]
         self.sets = [np.unique(shingles(s)) for s in sequences]
         self.where: list[dict[int, list[tuple[int, int]]]] = [defaultdict(list) for _ in range(settings.bands)]
@@ -149,21 +184,18 @@ class Scanner:
         if share < self.settings.containment:
             return None
         first, last = least_cover(np.flatnonzero(found).tolist(), here[found].tolist(), start - low)
+        if not np.isin(self.required[t], words[low + first : low + last + 2]).all():
+            return None
         return share, low + first, low + last + 1
 
     def matches(self, words: np.ndarray, proposed: set[tuple[int, int]]) -> list[tuple[str, float, int, int]]:
-        """(template, containment, first word, last word) of verified proposals; of overlapping ones of a template the best."""
-        found: dict[int, list[tuple[float, int, int]]] = defaultdict(list)
-        for t, start in proposed:
-            if got := self.contained(words, t, start):
-                found[t].append(got)
-        out = []
-        for t, some in found.items():
-            taken: list[tuple[float, int, int]] = []
-            for match in sorted(some, key=lambda m: (-m[0], m[2] - m[1], m[1])):
-                if all(match[2] < m[1] or match[1] > m[2] for m in taken):
-                    taken.append(match)
-            out += [(self.names[t], *m) for m in taken]
+        """(template, containment, first word, last word) of verified proposals; of overlapping ones the best, whatever its template."""
+        found = {(t, *got) for t, start in proposed if (got := self.contained(words, t, start))}
+        taken: list[tuple[int, float, int, int]] = []
+        for match in sorted(found, key=lambda m: (-m[1], -self.lengths[m[0]], m[3] - m[2], m[2], m[0])):
+            if all(match[3] < m[2] or match[2] > m[3] for m in taken):
+                taken.append(match)
+        out = [(self.names[t], *m) for t, *m in taken]
         return sorted(out, key=lambda m: (m[2], m[0]))
 
 
@@ -172,9 +204,10 @@ class Scanner:
 def scan(documents: DataFrame, templates: dict[str, str] = TEMPLATES, settings: Settings = Settings()) -> DataFrame:
     """doc_id and `matches` of every row of (doc_id, text): license, containment, start and end in code points.
 
-    Matches of one template don't overlap; they are in the order of the text. Null and empty texts and
+    Matches don't overlap, the best one wins; they are in the order of the text. Null and empty texts and
     texts shorter than a window have none; repeated rows and null doc_ids are scanned each; whole texts
-    are taken, other columns ignored; an empty table gives an empty result. The templates are a fixed
+    are taken, other columns ignored; an empty table gives an empty result. A template's
+    `REQUIRED` words must stand in the match. The templates are a fixed
     table that goes with the task, and nothing is shuffled.
     """
     kind = pa.list_(pa.struct([("license", pa.string()), ("containment", pa.float64()), ("start", pa.int64()), ("end", pa.int64())]))

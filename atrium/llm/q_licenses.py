@@ -18,4 +18,5 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_max("matches.containment").alias("best_containment"),
         F.get("matches", F.lit(0)).getField("start").alias("first_start"),
         F.get("matches", F.lit(0)).getField("end").alias("first_end"),
+        F.transform("matches", lambda m: F.struct(m["license"].alias("license"), m["start"].alias("start"), m["end"].alias("end"))).alias("spans"),
     )

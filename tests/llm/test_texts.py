@@ -9,6 +9,7 @@ import pytest
 from atrium.llm import ctw, licenses, media, neardup, quality, toxicity
 from atrium.llm.common import open_fs
 from atrium.llm.components import components
+from atrium.llm.q_licenses import op3_license_scan
 from atrium.llm.q_toxicity import sample
 from atrium.llm.shingles import circulant_signatures
 
@@ -158,6 +159,21 @@ def test_licenses_equal_brute_force(spark):
     assert licenses.scan(empty_documents(spark)).count() == 0
 
 
+def test_licenses_tell_versions_apart(spark, tmp_path):
+    others = [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+        "Licensed under the Apache License, Version 1.1.",
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "Licensed under the Apache License, Version 3.0.",
+    ]
+    two = "Released under the MIT License. Licensed under the Apache License, Version 2.0."
+    spark.createDataFrame(list(enumerate([*others, two])), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in op3_license_scan(spark, str(tmp_path)).collect()}
+    assert [got[i].licenses for i in range(5)] == ["GPL-2.0", "CC-BY-NC-4.0-notice", "Apache-1.1", "LGPL-3.0", ""]
+    assert [(s.license, two[s.start : s.end]) for s in got[5].spans] == [("MIT", two[:31]), ("Apache-2.0", two[32:])]
+
+
 def test_media_round_trip_and_retry(spark, monkeypatch):
     docs = odd_documents(spark)
     folder = media.write_archives(docs.repartition(3))
