@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import json
+import re
 import tempfile
+import unicodedata
 import uuid
+from array import array
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +22,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: The same whitespace characters, for splitting.
 SPACES = r"[\x20\x09-\x0D]+"
+#: Longer words are not remembered.
+LONG_WORD = 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,10 +33,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder's URI below spark.checkpoint.dir, which driver and executors share.
 
-    Where the session names no such folder (local tests), one is set first.
+    Where a local session names no such folder (tests), one is set first; a cluster must name its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
@@ -42,6 +51,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have yet, whatever the case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def shards_for(rows: DataFrame, least: int = 64, most: int = 4_096) -> int:
+    """Shards of a shuffle over packed blocks: two for each partition of the input, so that they grow with it."""
+    return min(most, max(least, 2 * rows.rdd.getNumPartitions()))
+
+
 def open_fs(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system of a URI and the path on it, usable from driver and executors alike."""
     return fs.FileSystem.from_uri(uri if "://" in uri else uri.replace("file:", "file://", 1))
@@ -56,63 +78,98 @@ def remainder(doc_id: str, modulus: int):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus
 
 
-class WordIds:
-    """Ids of whole texts by a tokenizer that never joins characters across a space or newline.
-
-    Texts are cut at spaces and newlines, each distinct piece is encoded once and its ids are kept as
-    bytes of `dtype`, so that a text's ids are one join of byte strings. Two generations of at most
-    `keep` pieces bound the memory.
+#: What a tokenizer file must say for its words to be encoded one by one.
+WORDWISE = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
+#: Characters that the plain path may take: below the combining marks and in a few alphabets.
+PLAIN_LIMIT = 0x530
+
+
+class WordIds(dict):
+    """Ids of whole texts, exactly as the tokenizers library gives them, as bytes of `dtype` per text.
+
+    Where the file says that words are normalised and cut by themselves (WORDWISE), texts are cut at spaces
+    and newlines, and pieces and their pre-tokens are remembered, at most two generations of `keep` each.
+    A piece of letters, digits and signs that the library lower-cases one by one is cut here and its
+    pre-tokens go to the model alone; any other piece goes through the library whole. For any other file,
+    whole texts do.
     """
 
-    def __init__(self, path: str, keep: int = 250_000):
+    def __init__(self, path: str, keep: int = 200_000):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        import numpy as np
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.keep, self.young, self.old = keep, {"": b""}, {}
-
-    def _encode(self, pieces: list[str]) -> None:
-        import numpy as np
-
-        for piece, enc in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)):
-            self.young[piece] = np.asarray(enc.ids, self.dtype).tobytes()
-
-    def _learn(self, missing: set[str]) -> None:
-        old, young, fresh, derived = self.old, self.young, set(), []
-        for w in missing:
-            if w in old:
-                young[w] = old[w]
-                continue
-            # One full stop or comma behind a letter or digit is a token run of its own, and the
-            # ASCII letters of both cases have the same ids.
-            stem, end = (w[:-1], w[-1]) if w[-1] in ",." and w[-2:-1].isalnum() else (w, "")
-            stem = stem.lower() if stem.isascii() and "<|" not in stem else stem
-            if end or stem != w:
-                derived.append((w, stem, end))
-                fresh.update(x for x in (stem, end) if x not in young)
+        self.dtype = np.dtype(np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
+        self.keep, self.old, self.tokens, self.old_tokens = keep, {}, {}, {}
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        added = [t["content"] for t in spec["added_tokens"]]
+        simple = all(not re.search(r"\s", t["content"]) and not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]) for t in spec["added_tokens"])
+        self.wordwise = simple and spec["post_processor"] is None and all(spec[k] == v for k, v in WORDWISE.items())
+        self.special = re.compile("|".join(map(re.escape, added)) or "(?!)")
+        self.model, self.bytewise = self.tokenizer.model, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        kinds: dict[str, list[str]] = {"L": [], "N": [], "": []}
+        for c in map(chr, range(0x21, PLAIN_LIMIT)):
+            kind = unicodedata.category(c)[0]
+            # The capital sigma is lower-cased by its place in a word.
+            if kind in "LNPS" and c != "\u03a3" and len(c.lower()) == 1 and unicodedata.normalize("NFC", c) == c and self.tokenizer.normalizer and self.tokenizer.normalizer.normalize_str(c) == c.lower():
+                kinds[kind if kind in "LN" else ""].append(re.escape(c))
+        letters, digits, signs = ("".join(kinds[k]) for k in ("L", "N", ""))
+        self.plain = re.compile(f"[{letters}{digits}{signs}]+").fullmatch
+        self.cut = re.compile(f"{CONTRACTIONS}|[{letters}]+|[{digits}]|[{signs}]+").findall
+
+    def _direct(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def _token(self, word: str) -> bytes:
+        """Ids of one pre-token in lower case."""
+        ids = self.tokens.get(word)
+        if ids is None:
+            ids = self.old_tokens.get(word)
+            if ids is None:
+                mapped = word if word.isascii() else self.bytewise.pre_tokenize_str(word)[0][0]
+                ids = array(self.dtype.char, [t.id for t in self.model.tokenize(mapped)]).tobytes()
+            if len(word) <= LONG_WORD:
+                if len(self.tokens) >= self.keep:
+                    self.old_tokens, self.tokens = self.tokens, {}
+                self.tokens[word] = ids
+        return ids
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            if not piece:
+                ids = b""
+            elif self.plain(piece) and not self.special.search(piece):
+                ids = b"".join(map(self._token, self.cut(piece.lower())))
             else:
-                fresh.add(w)
-        again = {x for x in fresh if x in old}
-        young.update((x, old[x]) for x in again)
-        self._encode(list(fresh - again))
-        for w, stem, end in derived:
-            young[w] = young[stem] + young[end]
+                ids = self._direct(piece)
+        if len(piece) <= LONG_WORD:
+            if len(self) >= self.keep:
+                self.old = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
 
     def __call__(self, texts: Iterable[str | None]) -> Iterable[bytes]:
         for text in texts:
-            pieces = (text or "").replace("\n", " ").split(" ")
-            missing = set(pieces).difference(self.young)
-            if missing:
-                if len(self.young) > self.keep:
-                    self.old, self.young = self.young, {"": b""}
-                    missing = set(pieces)
-                    missing.discard("")
-                self._learn(missing)
-            yield b"".join(map(self.young.__getitem__, pieces))
+            if self.wordwise:
+                yield b"".join(map(self.__getitem__, (text or "").replace("\n", " ").split(" ")))
+            else:
+                yield self._direct(text or "")
 
 
 _WORD_IDS: dict[str, WordIds] = {}
