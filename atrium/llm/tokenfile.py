@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from atrium.llm.common import materialize, open_fs, shared_dir, word_ids
+from atrium.llm.common import materialize, open_fs, shared_dir, slices, word_ids
 
 MAGIC_IDS, MAGIC_INDEX = b"ATRIDS1\0", b"ATRIDX1\0"
 HEAD = 8 + 32
@@ -32,41 +32,59 @@ ENTRY = np.dtype([("doc_id", "<i8"), ("start", "<i8"), ("n", "<i8"), ("offset",
 NULL_ID = -(1 << 63)
 #: The dictionary is trained on the ids of so many documents, the first by a hash, and is so large.
 SAMPLE_DOCS, DICTIONARY_BYTES = 2_000, 64 << 10
-#: Of a sampled document's ids, so many bytes at most stand for it in training.
-SAMPLE_BYTES = 32 << 10
+#: A sampled document's ids stand in training whole up to so many stretches of so many bytes, else as stretches spread evenly over all of them.
+STRETCHES, STRETCH_BYTES = 8, 4 << 10
 LEVEL = 3
 #: Bytes of frames in a file, about.
 FILE_BYTES = 16 << 20
 
 
+def stretches(raw: bytes) -> list[bytes]:
+    if len(raw) <= STRETCHES * STRETCH_BYTES:
+        return [raw] if raw else []
+    return [raw[at : at + STRETCH_BYTES] for at in np.linspace(0, len(raw) - STRETCH_BYTES, STRETCHES).astype(int) // 4 * 4]
+
+
 def train_dictionary(documents: DataFrame, tokenizer_path: str, sample: int = SAMPLE_DOCS, size: int = DICTIONARY_BYTES) -> bytes:
-    """A zstandard dictionary over serialized id arrays of a bounded sample; empty for a table without ids."""
+    """A zstandard dictionary over serialized id arrays of a bounded sample; empty for a table without ids.
+
+    The sample is the first `sample` rows by a hash. A cut-off on the hash, from the count of rows, leaves
+    four times as many for the sort, so that no more texts than these leave their tasks.
+    """
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, samples = word_ids(tokenizer_path), []
-        for batch in batches:
-            samples += [raw[:SAMPLE_BYTES] for raw in encode(batch.column(0).to_pylist()) if raw]
+        for batch in slices(batches, 100):
+            for raw in encode(batch.column(0).to_pylist()):
+                samples += stretches(raw)
         try:
             trained = zstandard.train_dictionary(size, samples).as_bytes() if samples else b""
         except zstandard.ZstdError:  # too few samples: their content serves as it is
             trained = b"".join(samples)[-size:]
         yield pa.RecordBatch.from_pydict({"dictionary": pa.array([trained], pa.binary())})
 
-    rows = documents.select("text").orderBy(F.xxhash64("doc_id", "text"), "text").limit(sample).coalesce(1)
-    got = rows.mapInArrow(train, "dictionary binary").collect()
+    share = min(1.0, 4 * sample / max(1, documents.count()))
+    rows = documents.select("text", F.xxhash64("doc_id", "text").alias("h")).where(F.pmod("h", F.lit(1 << 32)) < int(share * (1 << 32)))
+    got = rows.orderBy("h", "text").limit(sample).select("text").coalesce(1).mapInArrow(train, "dictionary binary").collect()
     return bytes(got[0][0]) if got else b""
 
 
-def dictionary_of(data: bytes) -> zstandard.ZstdCompressionDict | None:
-    return zstandard.ZstdCompressionDict(data) if len(data) >= 8 else None
+def dictionary_of(data: bytes, level: int | None = None) -> zstandard.ZstdCompressionDict | None:
+    """The dictionary, prepared once for compression at a level if one is given."""
+    if len(data) < 8:
+        return None
+    made = zstandard.ZstdCompressionDict(data)
+    if level is not None:
+        made.precompute_compress(level=level)
+    return made
 
 
 def compress_documents(documents: DataFrame, tokenizer_path: str, dictionary: bytes, end_id: int) -> DataFrame:
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_ids(tokenizer_path)
         end = np.asarray([end_id], encode.dtype).tobytes()
-        compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary_of(dictionary), write_content_size=True, write_dict_id=False)
-        for batch in batches:
+        compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary_of(dictionary, LEVEL), write_content_size=True, write_dict_id=False)
+        for batch in slices(batches):
             raws = [raw + end for raw in encode(batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(r) // encode.dtype.itemsize for r in raws], pa.int64()), pa.array([compressor.compress(r) for r in raws], pa.binary())],
