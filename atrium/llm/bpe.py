@@ -4,7 +4,8 @@
    positions, and pre-aggregates: each distinct word of a block gets a number, and the positions hold
    numbers.
 2. The blocks' distinct words are dealt by a hash of the word into shards, so that one task meets all
-   occurrences of a word, and it encodes each distinct word once.
+   blocks that hold a word. It encodes a distinct word once and remembers it, up to REMEMBERED words;
+   a shard of more words begins a new memory, and then a word may be encoded again.
 3. The ids join back to the blocks by number, and a block's documents are reassembled by position.
 4. Decoding joins ids with the table of token bytes, which the vocabulary bounds.
 
@@ -29,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from atrium.llm.common import materialize, open_fs, shared_dir, slices, tidy
+from atrium.llm.common import materialize, open_fs, shards_for, shared_dir, slices, tidy
 
 #: Characters of text in a block, about.
 BLOCK_CHARS = 10 << 20
@@ -237,12 +238,14 @@ def encoded_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), ids], names=["doc_id", "ids"])
 
 
-def encode(documents: DataFrame, ranks_path: str, pattern: str, shards: int = 64) -> DataFrame:
+def encode(documents: DataFrame, ranks_path: str, pattern: str, shards: int | None = None) -> DataFrame:
     """doc_id and ids of every whole text of (doc_id, text).
 
     Null and empty texts have no ids; null doc_ids and repeated rows are encoded each; other columns are
-    ignored; an empty table gives an empty result. Special tokens are ordinary text.
+    ignored; an empty table gives an empty result. Special tokens are ordinary text. The number of shards
+    grows with the input's partitions unless it is given.
     """
+    shards = shards or shards_for(documents)
     folder = shared_dir(documents.sparkSession, "positions")
     system, path = open_fs(folder)
     system.create_dir(path, recursive=True)

@@ -27,13 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from atrium.llm.bpe import BLOCK_NAMES, BLOCK_TYPES, BLOCKS, pack, unpack
-from atrium.llm.common import materialize, open_fs, shared_dir, slices, tidy
+from atrium.llm.common import materialize, open_fs, shards_for, shared_dir, slices, tidy
 from atrium.llm.shingles import words_lower
 
 #: Bytes of context.
 DEPTH = 5
-#: Bytes of text in a block, about; shards of strings, and as many of words.
-BLOCK_BYTES, SHARDS = 8 << 20, 64
+#: Bytes of text in a block, about.
+BLOCK_BYTES = 8 << 20
 #: Entries that wait to be merged in a shard.
 PENDING = 4_000_000
 HALF = math.log(0.5)
@@ -335,15 +335,16 @@ def sum_up(rows: DataFrame, folder: str, depth: int, shards: int, tokens: int, d
     return rows.repartition("block").sortWithinPartitions("block", "shard").mapInArrow(total, SCORED)
 
 
-def score(documents: DataFrame, depth: int = DEPTH, shards: int = SHARDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def score(documents: DataFrame, depth: int = DEPTH, shards: int | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Score the whole texts of (doc_id, train, text), learning from rows whose train is true.
 
     Returns doc_id, train, n_bytes of the stream, n_tokens and n_known (words and one end), base_score and
     score, log10 probabilities by smoothed word counts and by the context trees, train_tokens, and
     bits_per_byte, the code length per byte. Null and empty texts hold the end alone; repeated rows count
     each; without training rows every bit costs one bit; other columns are ignored; an empty table gives
-    an empty result.
+    an empty result. The number of shards grows with the input's partitions unless it is given.
     """
+    shards = shards or shards_for(documents)
     folder = shared_dir(documents.sparkSession, "streams")
     system, path = open_fs(folder)
     system.create_dir(path, recursive=True)

@@ -138,14 +138,14 @@ def fit(labelled: DataFrame, settings: Settings = Settings()) -> dict:
     return got[0].asDict() if got else {"w0": 0.0, "places": [], "weights": [], "factors": []}
 
 
-def score(documents: DataFrame, model: dict, settings: Settings = Settings()) -> DataFrame:
-    """documents with `score` (0 to 1) of each whole text; null and empty texts score as no terms do.
+def score(documents: DataFrame, model: dict, settings: Settings = Settings(), name: str = "score") -> DataFrame:
+    """documents with the column `name` (0 to 1) for each whole text; null and empty texts score as no terms do.
 
-    A column `score` of the input is replaced; all other columns are kept, repeated rows are scored each.
-    The model is at most `dimensions` terms, whatever the corpus.
+    A column `name` of the input is replaced; all other columns are kept, repeated rows are scored each, and
+    an empty table gives an empty result. The model is at most `dimensions` terms, whatever the corpus.
     """
-    columns = [c for c in documents.columns if c != "score"]
-    schema = documents.select(*columns).schema.add("score", "double")
+    columns = [c for c in documents.columns if c.lower() != name.lower()]
+    schema = documents.select(*columns).schema.add(name, "double")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tidy()
@@ -153,7 +153,7 @@ def score(documents: DataFrame, model: dict, settings: Settings = Settings()) ->
         w = np.zeros(settings.dimensions)
         v = np.zeros((settings.dimensions, settings.factors))
         w[model["places"]] = model["weights"]
-        v[model["places"]] = np.array(model["factors"]).reshape(-1, settings.factors)
+        v[model["places"]] = np.array(model["factors"]).reshape(len(model["places"]), settings.factors)
         for batch in slices(batches):
             scores = []
             for text in batch.column("text").to_pylist():
@@ -161,6 +161,6 @@ def score(documents: DataFrame, model: dict, settings: Settings = Settings()) ->
                 f = v[at]
                 raw = model["w0"] + w[at].sum() + 0.5 * float((f.sum(axis=0) ** 2).sum() - (f**2).sum())
                 scores.append(logistic(raw))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*columns, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*columns, name])
 
     return documents.select(*columns).mapInArrow(apply, schema)
