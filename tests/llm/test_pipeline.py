@@ -22,6 +22,24 @@ def test_stages_keep_columns_and_clean_documents(spark, tmp_path):
     assert all(stage(spark, docs.limit(0), str(tmp_path)).count() == 0 for _, stage in corpus_pipeline.STAGES)
 
 
+def test_stages_take_clashing_columns_repeated_rows_and_null_ids(spark, tmp_path):
+    good = [" ".join(f"word{(i * 7 + k * k) % 97}" for k in range(80)) for i in range(30)]
+    names = ("score", "id_", "key_", "Rejected_ID", "node", "text_key", "grp", "fold", "words", "bucket", "h", "label")
+    rows = [(i, t, *[f"{n}{i}" for n in names]) for i, t in enumerate(good)]
+    rows += [(3, good[3], *[f"{n}3" for n in names]), (3, good[4], *["z"] * len(names)), (None, good[5], *["z"] * len(names)), (None, None, *[None] * len(names))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(20)] + [(None, 1, 1), (25, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    now = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, str(tmp_path))
+        assert now.columns == docs.columns, name
+        assert all(r.score == f"score{r.doc_id}" and r.id_ == f"id_{r.doc_id}" for r in now.where("doc_id IS NOT NULL AND score <> 'z'").collect()), name
+    got = now.collect()
+    assert {r.doc_id for r in got if r.doc_id is not None} == set(range(30)) and [r.text for r in got if r.doc_id is None] == [good[5]]
+    assert corpus_pipeline.STAGES[-1][1](spark, now, str(tmp_path)).where("doc_id IS NULL").count() == 1
+
+
 def test_every_operator_has_a_query():
     assert sorted(int(n.split("_")[0][2:]) for n in queries.queries()) == list(range(1, 11))
 
