@@ -1,8 +1,9 @@
 """The corpus pipeline: toxicity, quality rules, near-duplicate removal and packing over documents.
 
 Each stage takes (spark, docs, sf_dir) and works on all documents that the one before it kept. Stages
-but the last return the columns of documents. Null texts count as empty, repeated rows are judged each,
-and an empty table passes through every stage.
+but the last return the columns of documents, whatever other columns they have. Null texts count as empty,
+repeated rows are judged each until near_dedup makes rows of equal doc_id and text one, rows without a
+doc_id are judged by their texts and never near duplicates, and an empty table passes through every stage.
 """
 
 from __future__ import annotations
@@ -12,14 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atrium.llm import neardup, packing, q_toxicity, quality, toxicity
-from atrium.llm.common import broadcast_if_small, materialize, table
+from atrium.llm.common import broadcast_if_small, fresh, materialize, table
 from atrium.llm.q_quality import trusted_ids, verdicts
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays below the threshold."""
     model = toxicity.fit(q_toxicity.sample(docs, table(spark, sf_dir, "labels")))
-    return toxicity.score(docs, model).where(F.col("score") < q_toxicity.TOXIC).select(*docs.columns)
+    score = fresh(docs, "score")
+    return toxicity.score(docs, model, name=score).where(F.col(score) < q_toxicity.TOXIC).select(*docs.columns)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,8 +32,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     scored = quality.scores(keyed, ratios, F.get("ratios", quality.fold_of(F.col("text_key"))), carry=("doc_id", "text_key"))
     judged = materialize(scored.select("doc_id", "text_key", "base_failed", "score"), "scores")
     failed = F.col("base_failed") | (F.col("score") < quality.fit_threshold(judged, verdicts(labels)))
-    rejected = materialize(judged.where(failed).select(F.col("doc_id").alias("id_"), F.col("text_key").alias("key_")).distinct(), "rejected")
-    same = F.col("doc_id").eqNullSafe(F.col("id_")) & (F.xxhash64("text") == F.col("key_"))
+    id_, key_ = fresh(docs, "rejected_id"), fresh(docs, "rejected_key")
+    rejected = materialize(judged.where(failed).select(F.col("doc_id").alias(id_), F.col("text_key").alias(key_)).distinct(), "rejected")
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(key_))
     return docs.join(broadcast_if_small(rejected), same, "left_anti")
 
 
