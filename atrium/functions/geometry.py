@@ -45,10 +45,13 @@ def xy_max_dim(prefix: str = "") -> Column:
 
 
 def shape_distance(a: str, b: str) -> Column:
-    """Mean absolute difference of the sorted sides, each box's sides divided by its longest."""
-    sides = lambda p: F.sort_array(F.array(*(dim(x, p) / longest(p) for x in AXES)))
-    gaps = F.zip_with(sides(a), sides(b), lambda x, y: F.abs(x - y))
-    return F.aggregate(gaps, F.lit(0.0), lambda s, x: s + x) / 3
+    """Distance of the sorted sides of two boxes, each box's sides divided by the length of all three."""
+    def sides(p):
+        d = [F.greatest(dim(x, p), F.lit(1e-6)) for x in AXES]
+        norm, low, high = F.sqrt(d[0] * d[0] + d[1] * d[1] + d[2] * d[2]), F.least(*d), F.greatest(*d)
+        return low / norm, (d[0] + d[1] + d[2] - low - high) / norm, high / norm
+
+    return F.sqrt(sum(((x - y) * (x - y) for x, y in zip(sides(a), sides(b))), F.lit(0.0)))
 
 
 def similar_shape(a: str, b: str, most: float = 0.18, ratio: float = 2.5) -> Column:
@@ -102,20 +105,6 @@ def corners(prefix: str = "") -> Column:
     return F.array(*(F.struct(fx("x", prefix).alias("x"), fy("y", prefix).alias("y"), fz("z", prefix).alias("z")) for fx in (lo, hi) for fy in (lo, hi) for fz in (lo, hi)))
 
 
-def to_camera(x: Column, y: Column, z: Column, view: str = "") -> tuple[Column, Column, Column]:
-    """Right, down and forward coordinates of a point for a level view."""
-    c = lambda n: F.col(f"{view}{n}")
-    dx, dy = x - c("px"), y - c("py")
-    return dx * c("fy") - dy * c("fx"), c("pz") - z, dx * c("fx") + dy * c("fy")
-
-
-def project(x: Column, y: Column, z: Column, view: str = "", width: float = 400.0, focal: float = 160.0) -> tuple[Column, Column, Column]:
-    """Pixel u and v of a point in a square image, and its depth; u and v are null at or behind the camera."""
-    right, down, depth = to_camera(x, y, z, view)
-    ahead = depth > 1e-6
-    return F.when(ahead, width / 2 + focal * right / depth), F.when(ahead, width / 2 + focal * down / depth), depth
-
-
 def in_image(u: Column, v: Column, width: float = 400.0, border: float = 0.0) -> Column:
     return F.coalesce((u >= border) & (u < width - border) & (v >= border) & (v < width - border), F.lit(False))
 
@@ -125,9 +114,9 @@ def hfov_deg(width: float = 400.0, focal: float = 160.0) -> Column:
 
 
 def signed_yaw(fx: Column, fy: Column, dx: Column, dy: Column) -> Column:
-    """Degrees from forward to a direction in the plane, positive to the left; 0 for no direction."""
+    """Degrees from forward to a direction in the plane, positive where its cross product with forward is; 90 for no direction."""
     none = (F.abs(dx) < 1e-9) & (F.abs(dy) < 1e-9)
-    return F.when(none, F.lit(0.0)).otherwise(F.degrees(F.atan2(fx * dy - fy * dx, fx * dx + fy * dy)))
+    return F.when(none, F.lit(90.0)).otherwise(F.degrees(F.atan2(fx * dy - fy * dx, fx * dx + fy * dy)))
 
 
 def bearing_label(yaw: Column, front: float = 30.0, back: float = 150.0) -> Column:

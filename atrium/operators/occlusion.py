@@ -1,4 +1,8 @@
-"""What stands between a view and an object's centre."""
+"""What stands between a view and an object: rays from the camera to points of the object's box against other boxes.
+
+A ray meets a box where it is in all three of its slabs. Corners share their sides, so that a box has two
+slab stretches per axis, and its eight corners are combinations of them: plain columns, no arrays.
+"""
 
 from __future__ import annotations
 
@@ -6,41 +10,96 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from atrium.functions import geometry as G
+from atrium.operators.views import CORNERS, sides
 
 SLACK = 1e-3
-
-
-def entry(prefix: str) -> Column:
-    """Where a box is entered on the way from the view (0) to the object's centre (1); null if it is missed."""
-    lows, highs, misses = [], [], []
-    for axis in G.AXES:
-        p = F.col(f"p{axis}")
-        d = G.center(axis) - p
-        level = F.abs(d) < 1e-12
-        a, b = F.try_divide(G.lo(axis, prefix) - p, d), F.try_divide(G.hi(axis, prefix) - p, d)
-        lows.append(F.when(~level, F.least(a, b)))
-        highs.append(F.when(~level, F.greatest(a, b)))
-        misses.append(level & ~p.between(G.lo(axis, prefix), G.hi(axis, prefix)))
-    first, last = F.greatest(*lows, F.lit(0.0)), F.least(*highs)
-    return F.when(~(misses[0] | misses[1] | misses[2]) & (first <= last) & (last > 0), first)
+#: A blocker must be nearer than a corner by this share of the way.
+NEARER = 0.02
+FAR = 1e300
 
 
 def touches(a: str, b: str, slack: float = SLACK) -> Column:
     return (G.gap("x", a, b) <= slack) & (G.gap("y", a, b) <= slack) & (G.gap("z", a, b) <= slack)
 
 
-def blockers(seen: DataFrame, roomed: DataFrame) -> DataFrame:
-    """(view_id, object_id, blocker_id, t) of boxes of the room, not touching the object, that hide its centre.
+def between(pairs: DataFrame, blockers: DataFrame) -> DataFrame:
+    """pairs (view with object) beside the blockers (b_) of their scene that can meet a ray from the camera into the box.
 
-    A blocker is entered before the centre by at least a millimetre and a fiftieth of the way.
+    An equality of scene, and as a residual that the blocker reaches into the bounds of camera and box.
     """
-    boxes = roomed.select("scene_id", "room_id", F.col("object_id").alias("b_object_id"), *(F.col(f"{n}_{x}").alias(f"b_{n}_{x}") for x in G.AXES for n in ("min", "max")))
-    pairs = seen.join(boxes, ["scene_id", "room_id"]).where((F.col("object_id") != F.col("b_object_id")) & ~touches("", "b_"))
-    t = pairs.withColumn("t", entry("b_"))
-    hides = F.col("t") * F.col("distance") <= F.col("distance") - F.greatest(F.lit(1e-3), 0.02 * F.col("distance"))
-    return t.where(hides).select("view_id", "object_id", F.col("b_object_id").alias("blocker_id"), F.round("t", 9).alias("t"))
+    b = blockers.select("scene_id", F.col("object_id").alias("b_object_id"), *(F.col(f"{n}_{a}").alias(f"b_{n}_{a}") for a in G.AXES for n in ("min", "max")))
+    joined = pairs.join(b, "scene_id").where(F.col("object_id") != F.col("b_object_id"))
+    for a in G.AXES:
+        p = F.col(f"p{a}")
+        joined = joined.where((G.lo(a, "b_") <= F.greatest(p, G.hi(a))) & (G.hi(a, "b_") >= F.least(p, G.lo(a))))
+    return joined
+
+
+def with_rays(rows: DataFrame, inset: bool, center: bool = False) -> tuple[DataFrame, list[tuple[Column, Column, Column]]]:
+    """rows, and for each corner (and the centre) how far the ray enters and leaves the blocker, in parts of the way, and the way's length."""
+    made = {}
+    for a in G.AXES:
+        p = F.col(f"p{a}")
+        points = [*sides(a, inset), *([G.center(a)] if center else [])]
+        for i, side in enumerate(points):
+            d = side - p
+            level = F.abs(d) < 1e-12
+            inside = p.between(G.lo(a, "b_"), G.hi(a, "b_"))
+            t1, t2 = F.try_divide(G.lo(a, "b_") - p, d), F.try_divide(G.hi(a, "b_") - p, d)
+            made |= {
+                f"near_{a}{i}": F.when(level, F.when(inside, -FAR).otherwise(FAR)).otherwise(F.least(t1, t2)),
+                f"leave_{a}{i}": F.when(level, F.when(inside, FAR).otherwise(-FAR)).otherwise(F.greatest(t1, t2)),
+                f"way_{a}{i}": d,
+            }
+    c = lambda kind, at: [F.col(f"{kind}_{a}{i}") for a, i in zip(G.AXES, at)]
+    places = [*CORNERS, *([(2, 2, 2)] if center else [])]
+    rays = []
+    for at in places:
+        w = c("way", at)
+        rays.append((F.greatest(*c("near", at)), F.least(*c("leave", at)), F.sqrt(w[0] * w[0] + w[1] * w[1] + w[2] * w[2])))
+    return rows.withColumns(made), rays
+
+
+def visibility(seen: DataFrame, blockers: DataFrame, keys: tuple[str, ...] = ("scene_id", "view_id", "object_id")) -> DataFrame:
+    """seen (rows with in_mask) with n_visible, inset corners in the image that nothing hides, and occluded, the hidden share of those in the image.
+
+    What touches the object hides nothing of it. Without a corner in the image, occluded is 1. Blockers are
+    aggregated to one bit mask per view and object, combined before the shuffle.
+    """
+    rows, rays = with_rays(between(seen.where("in_mask <> 0"), blockers).where(~touches("", "b_")), inset=True)
+    mask = F.lit(0)
+    for n, (enter, leave, way) in enumerate(rays):
+        hides = (way >= 1e-6) & (enter <= leave) & (enter >= 0) & (leave * way > 1e-3) & (enter * way <= way - F.greatest(F.lit(1e-3), NEARER * way))
+        mask = mask + hides.cast("int") * (1 << n)
+    hidden = rows.groupBy(*keys).agg(F.bit_or(mask).alias("hidden_"))
+    out = seen.join(hidden, list(keys), "left").withColumn("hidden_", F.coalesce("hidden_", F.lit(0)).bitwiseAND(F.col("in_mask")))
+    inside, blocked = F.bit_count("in_mask"), F.bit_count("hidden_")
+    return out.withColumns({"n_visible": inside - blocked, "occluded": F.when(inside == 0, F.lit(1.0)).otherwise(blocked / inside)}).drop("hidden_")
+
+
+def primary_occluder(seen: DataFrame, blockers: DataFrame, keys: tuple[str, ...] = ("scene_id", "view_id", "object_id")) -> DataFrame:
+    """(keys, blocker_id, n): the blocker that is met first on the way to most corners, ties to the smaller id; no row if there is none."""
+    rows, rays = with_rays(between(seen, blockers), inset=False)
+    firsts = []
+    for n, (enter, leave, way) in enumerate(rays):
+        meets = (way >= 1e-6) & (enter <= leave) & (leave >= 0) & (enter * way > 1e-3) & (enter * way < way - 1e-3)
+        firsts.append(F.min(F.when(meets, F.struct((enter * way).alias("t"), F.col("b_object_id").alias("id")))).getField("id").alias(f"first{n}"))
+    first = rows.groupBy(*keys).agg(*firsts).select(*keys, F.explode(F.array(*(f"first{n}" for n in range(8)))).alias("blocker_id")).where("blocker_id IS NOT NULL")
+    counts = first.groupBy(*keys, "blocker_id").agg(F.count("*").alias("n"))
+    best = F.max(F.struct("n", (-F.col("blocker_id")).alias("id")))
+    return counts.groupBy(*keys).agg(best.alias("m")).select(*keys, (-F.col("m.id")).alias("blocker_id"), F.col("m.n").alias("n"))
+
+
+def box_occluded(seen: DataFrame, blockers: DataFrame, keys: tuple[str, ...] = ("scene_id", "view_id", "object_id")) -> DataFrame:
+    """(keys) of the views and objects of which any corner or the centre is hidden by anything."""
+    rows, rays = with_rays(between(seen, blockers), inset=False, center=True)
+    blocked = F.lit(False)
+    for enter, leave, way in rays:
+        blocked = blocked | ((way >= 1e-6) & (enter <= leave) & (leave >= 0) & (enter >= 0) & (enter * way <= way - 1e-3))
+    return rows.groupBy(*keys).agg(F.bool_or(blocked).alias("blocked_")).where("blocked_").select(*keys)
 
 
-def primary_blocker(hidden: DataFrame) -> DataFrame:
-    """The first blocker on the way, ties to the smaller id, and how many there are."""
-    return hidden.groupBy("view_id", "object_id").agg(F.min(F.struct("t", "blocker_id")).alias("m"), F.count("*").alias("n")).select("view_id", "object_id", F.col("m.blocker_id").alias("blocker_id"), "n")
+def newly_visible(before: DataFrame, after: DataFrame, keys: tuple[str, ...] = ("scene_id", "pair_id")) -> DataFrame:
+    """Of each pair of views the object hidden before and visible after that is least occluded, ties to the smaller id."""
+    new = after.join(before.select(*keys, "object_id"), [*keys, "object_id"], "left_anti")
+    return new.groupBy(*keys).agg(F.min(F.struct("occluded", "object_id")).alias("m")).select(*keys, F.col("m.object_id").alias("object_id"), F.col("m.occluded").alias("occluded"))

@@ -1,13 +1,46 @@
-"""Operators over camera views: projection, predicates and what a view sees."""
+"""Operators over camera views: look-at projection and what a view sees.
+
+A view is a position px, py, pz and a target tx, ty, tz. A camera looks along the way to its target; its
+image has u to the left and v upwards.
+"""
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from atrium.functions import geometry as G
 
+#: Intrinsics: pixels of the square image and its focal length.
 WIDTH, FOCAL = 400.0, 160.0
+#: Corners for visibility lie so far inside their box: a share of its half sides, at most so many metres.
+INSET, INSET_MOST = 0.05, 0.05
+#: Low and high side of x, y and z for each corner.
+CORNERS = [(i, j, k) for k, j, i in itertools.product((0, 1), repeat=3)]
+
+
+def with_camera(views: DataFrame) -> DataFrame:
+    """Views with the camera's axes: cam_f (to the target), cam_r (to the right, level) and cam_u (upwards)."""
+    d = [F.col(f"t{a}") - F.col(f"p{a}") for a in G.AXES]
+    size = F.sqrt(d[0] * d[0] + d[1] * d[1] + d[2] * d[2]) + 1e-8
+    f = {f"cam_f{a}": x / size for a, x in zip(G.AXES, d)}
+    level = F.sqrt(F.col("cam_fx") * F.col("cam_fx") + F.col("cam_fy") * F.col("cam_fy"))
+    flat = level > 1e-6
+    r = {"cam_rx": F.when(flat, F.col("cam_fy") / level).otherwise(F.lit(1.0)), "cam_ry": F.when(flat, -F.col("cam_fx") / level).otherwise(F.lit(0.0))}
+    rx, ry, fx, fy, fz = (F.col(f"cam_{n}") for n in ("rx", "ry", "fx", "fy", "fz"))
+    return views.withColumns(f).withColumns(r).withColumns({"cam_ux": ry * fz, "cam_uy": -rx * fz, "cam_uz": rx * fy - ry * fx})
+
+
+def pixel(x: Column, y: Column, z: Column) -> tuple[Column, Column, Column]:
+    """Image u and v of a point, and its depth; u and v are null at or behind the camera."""
+    dx, dy, dz = x - F.col("px"), y - F.col("py"), z - F.col("pz")
+    depth = dx * F.col("cam_fx") + dy * F.col("cam_fy") + dz * F.col("cam_fz")
+    right = dx * F.col("cam_rx") + dy * F.col("cam_ry")
+    up = dx * F.col("cam_ux") + dy * F.col("cam_uy") + dz * F.col("cam_uz")
+    ahead = depth > 1e-6
+    return F.when(ahead, WIDTH / 2 - FOCAL * right / depth), F.when(ahead, WIDTH / 2 + FOCAL * up / depth), depth
 
 
 def view_objects(views: DataFrame, roomed: DataFrame) -> DataFrame:
@@ -15,68 +48,67 @@ def view_objects(views: DataFrame, roomed: DataFrame) -> DataFrame:
     return views.join(roomed, ["scene_id", "room_id"])
 
 
+def sides(axis: str, inset: bool = False) -> tuple[Column, Column]:
+    """Low and high side of a box, for visibility a little inside it."""
+    low, high = G.lo(axis), G.hi(axis)
+    if not inset:
+        return low, high
+    by = F.least((high - low) / 2 * INSET, F.lit(INSET_MOST))
+    return low + by, high - by
+
+
 def with_projection(pairs: DataFrame) -> DataFrame:
-    """Adds the centre's bearing and distance, the count of corners in the image, and their box.
+    """Adds what a view sees of a box: n_corners and box_w, box_h, mean_u, mean_v of the corners in the image,
+    in_mask (bits of the inset corners in the image), distance, bearing in the plane, and angle from forward in space.
 
-    A level view sees the four upright edges of a box at four depths, so that eight corners are four
-    columns u and eight columns v: plain columns, which compile, and no arrays.
+    The views must have their camera's axes. All of it is plain columns, which compile; no arrays.
     """
-    edges = [(f(x, ""), g(y, "")) for x, f in (("x", G.lo), ("x", G.hi)) for y, g in (("y", G.lo), ("y", G.hi))]
-    rays = {}
-    for i, (x, y) in enumerate(edges):
-        dx, dy = x - F.col("px"), y - F.col("py")
-        rays |= {f"r{i}_": dx * F.col("fy") - dy * F.col("fx"), f"d{i}_": dx * F.col("fx") + dy * F.col("fy")}
-    pixels = {}
-    for i in range(4):
-        ahead = F.col(f"d{i}_") > 1e-6
-        pixels[f"u{i}_"] = F.when(ahead, WIDTH / 2 + FOCAL * F.col(f"r{i}_") / F.col(f"d{i}_"))
-        for j, z in enumerate((G.lo("z"), G.hi("z"))):
-            pixels[f"v{i}{j}_"] = F.when(ahead, WIDTH / 2 + FOCAL * (F.col("pz") - z) / F.col(f"d{i}_"))
-    within = {f"i{i}{j}_": G.in_image(F.col(f"u{i}_"), F.col(f"v{i}{j}_"), WIDTH) for i in range(4) for j in range(2)}
-    us = [F.when(F.col(f"i{i}0_") | F.col(f"i{i}1_"), F.col(f"u{i}_")) for i in range(4)]
-    vs = [F.when(F.col(f"i{i}{j}_"), F.col(f"v{i}{j}_")) for i in range(4) for j in range(2)]
-    dx, dy, dz = G.center("x") - F.col("px"), G.center("y") - F.col("py"), G.center("z") - F.col("pz")
+    # Per axis and side, what a corner there adds to depth, right and up: corners are sums of three of these.
+    terms, raw, bits = {}, {}, {}
+    for kind, inset in (("c", False), ("s", True)):
+        for a in G.AXES:
+            for i, side in enumerate(sides(a, inset)):
+                d = side - F.col(f"p{a}")
+                terms |= {f"{kind}{m}{a}{i}_": d * F.col(f"cam_{m}{a}") for m in "fru" if m != "r" or a != "z"}
+    for n, at in enumerate(CORNERS):
+        for kind in "cs":
+            term = lambda m, axes="xyz": sum((F.col(f"{kind}{m}{a}{i}_") for a, i in zip(axes, at)), F.lit(0.0))  # noqa: E731, B023
+            raw |= {f"{kind}d{n}_": term("f"), f"{kind}u{n}_": WIDTH / 2 - FOCAL * F.try_divide(term("r", "xy"), term("f")), f"{kind}v{n}_": WIDTH / 2 + FOCAL * F.try_divide(term("u"), term("f"))}
+            bits[f"{kind}i{n}_"] = (F.col(f"{kind}d{n}_") > 1e-6) & G.in_image(F.col(f"{kind}u{n}_"), F.col(f"{kind}v{n}_"), WIDTH)
+    us, vs = ([F.when(F.col(f"ci{n}_"), F.col(f"c{a}{n}_")) for n in range(8)] for a in "uv")
+    count = sum((F.col(f"ci{n}_").cast("int") for n in range(8)), F.lit(0))
+    mean = lambda parts: sum((F.coalesce(x, F.lit(0.0)) for x in parts), F.lit(0.0)) / F.nullif(F.col("n_corners"), F.lit(0))
+    dx, dy, dz = (G.center(a) - F.col(f"p{a}") for a in G.AXES)
+    far = F.sqrt(dx * dx + dy * dy + dz * dz)
+    ahead = dx * F.col("cam_fx") + dy * F.col("cam_fy") + dz * F.col("cam_fz")
     found = {
-        "n_corners": sum((F.col(c).cast("int") for c in within), F.lit(0)),
-        "distance": F.sqrt(dx * dx + dy * dy + dz * dz),
-        "bearing": G.signed_yaw(F.col("fx"), F.col("fy"), dx, dy),
         "box_w": F.coalesce(F.greatest(*us) - F.least(*us), F.lit(0.0)),
         "box_h": F.coalesce(F.greatest(*vs) - F.least(*vs), F.lit(0.0)),
+        "mean_u": mean(us),
+        "mean_v": mean(vs),
+        # The partition's number times 0 keeps filters on the mask above it: pushed down, they would repeat all corners.
+        "in_mask": sum((F.col(f"si{n}_").cast("int") * (1 << n) for n in range(8)), F.spark_partition_id() * 0),
+        "distance": far,
+        "bearing": G.signed_yaw(F.col("cam_fx"), F.col("cam_fy"), dx, dy),
+        "angle": F.when(far < 1e-6, F.lit(0.0)).otherwise(F.degrees(F.acos(G.clamp(ahead / far, -1.0, 1.0)))),
     }
-    return pairs.withColumns(rays).withColumns(pixels).withColumns(within).withColumns(found).drop(*rays, *pixels, *within)
+    return pairs.withColumns(terms).withColumns(raw).withColumns(bits).withColumn("n_corners", count).withColumns(found).drop(*terms, *raw, *bits)
 
 
-def visible(least_corners: int = 4) -> Column:
+def in_frame(least_corners: int = 4) -> Column:
     return F.col("n_corners") >= least_corners
 
 
-def distance_band(low: float, high: float) -> Column:
-    return F.col("distance").between(low, high)
-
-
-def bearing_within(most: float) -> Column:
-    return F.abs("bearing") <= most
-
-
 def scale() -> Column:
     return F.col("box_w") * F.col("box_h") / (WIDTH * WIDTH)
 
 
-def scale_band(low: float = 0.05, high: float = 0.70) -> Column:
-    return (F.col("n_corners") >= 2) & scale().between(low, high)
-
-
-def aspect_exposed(least: float = 0.30) -> Column:
-    long, short = F.greatest("box_w", "box_h"), F.least("box_w", "box_h")
-    return (F.col("n_corners") >= 4) & F.coalesce(F.try_divide(short, long) >= least, F.lit(False))
-
-
 def visible_labels(seen: DataFrame) -> DataFrame:
     """Count of visible instances per view and label."""
-    return seen.where(visible()).groupBy("view_id", "label").agg(F.count("*").alias("n"))
+    return seen.groupBy("view_id", "label").agg(F.count("*").alias("n"))
 
 
 def anchor_object(seen: DataFrame) -> DataFrame:
-    """The visible object with the largest image box of each view, ties to the smaller id."""
+    """The object with the largest image box of each view, ties to the smaller id."""
     best = F.max(F.struct(F.round(F.col("box_w") * F.col("box_h"), 6).alias("area"), (-F.col("object_id")).alias("id")))
-    return seen.where(visible()).groupBy("view_id").agg(best.alias("m")).select("view_id", (-F.col("m.id")).alias("object_id"), F.col("m.area").alias("area"))
+    return seen.groupBy("view_id").agg(best.alias("m")).select("view_id", (-F.col("m.id")).alias("object_id"), F.col("m.area").alias("area"))

@@ -1,71 +1,14 @@
-"""Queries that join several operators: occlusion, replay, metrics, binding, clusters."""
+"""Queries that join several operators: replay, metrics, binding, gates."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from atrium.functions import geometry as G
-from atrium.functions import text as X
-from atrium.operators import objects as O
-from atrium.operators import occlusion, views as V
 from atrium.operators import tasks as T
 from atrium.plans.q_objects import ROOMED, r6, roomed
-from atrium.plans.q_pairs import PAIRS, pairs
 from atrium.plans.q_tasks import FRACTIONS, PATHS, fractions, paths
-from atrium.plans.q_views import SEEN, seen
 from atrium.plans.registry import query
 from atrium.plans.scenes import scene
 
 
-def slab(axis):
-    d = f"((s.min_{axis} + s.max_{axis}) / 2 - s.p{axis})"
-    a, b = f"(b.min_{axis} - s.p{axis}) / {d}", f"(b.max_{axis} - s.p{axis}) / {d}"
-    return d, f"CASE WHEN ABS({d}) >= 1e-12 THEN LEAST({a}, {b}) END", f"CASE WHEN ABS({d}) >= 1e-12 THEN GREATEST({a}, {b}) END", f"(ABS({d}) < 1e-12 AND s.p{axis} NOT BETWEEN b.min_{axis} AND b.max_{axis})"
-
-
-PARTS = [slab(a) for a in "xyz"]
-GAPS = " AND ".join(f"GREATEST(0.0, s.min_{a} - b.max_{a}, b.min_{a} - s.max_{a}) <= 0.001" for a in "xyz")
-HIDDEN = f"""{SEEN}, s AS (SELECT vo.*, vr.scene_id, vr.room_id FROM vo JOIN seen USING (view_id, object_id) JOIN vr USING (view_id) WHERE n_corners >= 4),
-rays AS (SELECT s.view_id, s.object_id, b.object_id AS blocker_id, SQRT({' + '.join(f'POW({p[0]}, 2)' for p in PARTS)}) AS distance,
-  GREATEST({', '.join(p[1] for p in PARTS)}, 0.0) AS first, LEAST({', '.join(p[2] for p in PARTS)}) AS last, {' OR '.join(p[3] for p in PARTS)} AS missed
-  FROM s JOIN roomed b ON s.scene_id = b.scene_id AND s.room_id = b.room_id AND s.object_id <> b.object_id WHERE NOT ({GAPS})),
-hidden AS (SELECT view_id, object_id, blocker_id, ROUND(first, 9) AS t FROM rays WHERE NOT missed AND first <= last AND last > 0 AND first * distance <= distance - GREATEST(0.001, 0.02 * distance))"""
-
-
-def hidden(spark, sf_dir):
-    return occlusion.blockers(seen(spark, sf_dir).where(V.visible()), roomed(spark, sf_dir))
-
-
-@query(f"WITH {HIDDEN} SELECT view_id, object_id, COUNT(*) AS n FROM hidden GROUP BY 1, 2")
-def center_blockers(spark, sf_dir):
-    return occlusion.primary_blocker(hidden(spark, sf_dir)).select("view_id", "object_id", "n")
-
-
-@query(f"WITH {HIDDEN}, p AS (SELECT view_id, object_id, ARG_MIN(blocker_id, (t, blocker_id)) AS blocker_id FROM hidden GROUP BY 1, 2) SELECT blocker_id, COUNT(*) AS n FROM p GROUP BY 1")
-def primary_blockers(spark, sf_dir):
-    return occlusion.primary_blocker(hidden(spark, sf_dir)).groupBy("blocker_id").agg(F.count("*").alias("n"))
-
-
-@query(f"""WITH {SEEN}, s AS (SELECT object_id, view_id, px, py FROM vo JOIN seen USING (view_id, object_id) WHERE n_corners >= 4)
-SELECT a.object_id, COUNT(*) AS n, ROUND(MAX(SQRT((a.px - b.px) * (a.px - b.px) + (a.py - b.py) * (a.py - b.py))), 6) AS farthest FROM s a JOIN s b ON a.object_id = b.object_id AND a.view_id < b.view_id
-WHERE (a.px - b.px) * (a.px - b.px) + (a.py - b.py) * (a.py - b.py) >= 0.0025 GROUP BY 1""")
-def view_pairs(spark, sf_dir):
-    s = seen(spark, sf_dir).where(V.visible()).select("object_id", "view_id", "px", "py")
-    p = O.prefixed(s, "a_", ("object_id",)).join(O.prefixed(s, "b_", ("object_id",)), "object_id").where("a_view_id < b_view_id")
-    dx, dy = F.col("a_px") - F.col("b_px"), F.col("a_py") - F.col("b_py")
-    return p.where(dx * dx + dy * dy >= 0.0025).groupBy("object_id").agg(F.count("*").alias("n"), r6(F.max(F.sqrt(dx * dx + dy * dy)), "farthest"))
-
-
-@query(f"""WITH {SEEN}, s AS (SELECT view_id, object_id, vo.label, ((min_x + max_x) / 2 - px) * fy - ((min_y + max_y) / 2 - py) * fx AS r FROM vo JOIN seen USING (view_id, object_id) WHERE n_corners >= 4),
-k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY view_id, label ORDER BY ROUND(r, 9), object_id) AS n, COUNT(*) OVER (PARTITION BY view_id, label) AS m FROM s)
-SELECT label, CASE WHEN m = 1 THEN 'the ' || label ELSE 'the ' || n || CASE WHEN n % 100 BETWEEN 11 AND 13 THEN 'th' WHEN n % 10 = 1 THEN 'st' WHEN n % 10 = 2 THEN 'nd' WHEN n % 10 = 3 THEN 'rd' ELSE 'th' END || ' ' || label || ' from left to right' END AS shown, COUNT(*) AS n FROM k GROUP BY 1, 2""")
-def display_labels(spark, sf_dir):
-    right = (G.center("x") - F.col("px")) * F.col("fy") - (G.center("y") - F.col("py")) * F.col("fx")
-    same = Window.partitionBy("view_id", "label")
-    s = seen(spark, sf_dir).where(V.visible()).withColumns({"r": F.round(right, 9)}).withColumns({"k": F.row_number().over(same.orderBy("r", "object_id")), "m": F.count("*").over(same)})
-    shown = F.when(F.col("m") == 1, F.concat(F.lit("the "), "label")).otherwise(F.concat(F.lit("the "), X.ordinal(F.col("k")), F.lit(" "), "label", F.lit(" from left to right")))
-    return s.groupBy("label", shown.alias("shown")).agg(F.count("*").alias("n"))
-
-
 @query("""WITH y AS (SELECT task_id, step, action, SUM(CAST(CASE action WHEN 'turn_left' THEN 30 WHEN 'turn_right' THEN -30 ELSE 0 END AS DOUBLE)) OVER (PARTITION BY task_id ORDER BY step) AS yaw FROM {traj_steps}),
 m AS (SELECT *, CASE WHEN action LIKE 'move_%' THEN 0.25 ELSE 0.0 END AS d, RADIANS(yaw + CASE action WHEN 'move_left' THEN 90.0 WHEN 'move_right' THEN -90.0 WHEN 'move_backward' THEN 180.0 ELSE 0.0 END) AS a FROM y)
 SELECT task_id, step, ROUND(yaw, 3) AS yaw, ROUND(SUM(d * COS(a)) OVER w, 4) + 0.0 AS x, ROUND(SUM(d * SIN(a)) OVER w, 4) + 0.0 AS y FROM m WINDOW w AS (PARTITION BY task_id ORDER BY step)""")
@@ -111,15 +54,6 @@ def turn_plans(spark, sf_dir):
     return scene(spark, sf_dir, "orders")[0].select(F.col("o_orderkey").alias("task_id"), F.size(T.turn_actions(angle)).alias("n"), (angle >= 0).alias("to_left"))
 
 
-@query(f"""WITH {PAIRS}, n AS (SELECT a_id AS object_id, b_id AS other_id, ROUND(xy, 9) AS d FROM p WHERE a_label = b_label UNION ALL SELECT b_id, a_id, ROUND(xy, 9) FROM p WHERE a_label = b_label),
-k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY object_id ORDER BY d, other_id) AS r FROM n) SELECT object_id, COUNT(*) AS members, ROUND(MAX(d), 6) AS radius FROM k WHERE r <= 5 GROUP BY 1 HAVING MAX(d) <= 2.0""")
-def count_clusters(spark, sf_dir):
-    same = pairs(spark, sf_dir).where("a_label = b_label").withColumn("d", F.round(G.xy_distance("a_", "b_"), 9))
-    both = same.select(F.col("a_object_id").alias("object_id"), F.col("b_object_id").alias("other_id"), "d").union(same.select("b_object_id", "a_object_id", "d"))
-    near = both.withColumn("r", F.row_number().over(Window.partitionBy("object_id").orderBy("d", "other_id"))).where("r <= 5")
-    return near.groupBy("object_id").agg(F.count("*").alias("members"), r6(F.max("d"), "radius")).where("radius <= 2.0")
-
-
 @query(f"""WITH {ROOMED}, c AS (SELECT r.scene_id, COUNT(DISTINCT o.room_id) AS rooms, COUNT(DISTINCT o.label) AS labels, ANY_VALUE(d.doors) AS doors FROM {{rooms}} r LEFT JOIN roomed o USING (scene_id) LEFT JOIN (SELECT scene_id, COUNT(*) AS doors FROM {{portals}} GROUP BY 1) d USING (scene_id) GROUP BY 1)
 SELECT scene_id, CASE WHEN COALESCE(doors, 0) < 4 THEN 'too few doors' WHEN rooms < 5 THEN 'too few rooms' WHEN labels < 8 THEN 'too few labels' END AS unmet FROM c""")
 def scene_gate(spark, sf_dir):

@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from atrium.functions import geometry as G
+from atrium.functions import labels as L
 from atrium.operators import objects as O
+from atrium.plans.label_sql import LAB, named
 from atrium.plans.registry import query
 from atrium.plans.scenes import scene
 
@@ -36,22 +38,28 @@ def valid_objects(spark, sf_dir):
     return O.valid_objects(o, ("lamp", "book")).select("object_id", "label")
 
 
-@query("SELECT scene_id, COUNT(*) AS n FROM {objects} WHERE LOWER(label) NOT IN ('wall', 'floor', 'ceiling', 'door', 'window', 'other', 'misc', 'unknown', 'object') GROUP BY scene_id")
+@query(f"SELECT scene_id, COUNT(*) AS n FROM {{objects}} WHERE LOWER(label) NOT IN ({named((*L.STRUCTURAL, *L.GENERIC))}) GROUP BY scene_id")
 def candidate_objects(spark, sf_dir):
     (o,) = scene(spark, sf_dir, "objects")
     return O.candidate_objects(o).groupBy("scene_id").agg(F.count("*").alias("n"))
 
 
-@query("""WITH v AS (SELECT object_id, label, (max_x - min_x) * (max_y - min_y) * (max_z - min_z) AS v FROM {objects})
-SELECT object_id, label NOT IN ('book', 'cup', 'pen', 'lamp') AND v >= 0.04 AS meaningful,
-  label NOT IN ('book', 'cup', 'pen', 'lamp') AND v >= 0.04 AND (label IN ('bed', 'sofa', 'table', 'cabinet') OR v >= 0.12) AS landmark FROM v""")
+@query(f"""WITH {LAB}, v AS (SELECT object_id, fine, mark, (max_x - min_x) * (max_y - min_y) * (max_z - min_z) AS v FROM {{objects}} JOIN lab USING (label))
+SELECT object_id, NOT fine AND v >= 0.04 AS meaningful, NOT fine AND v >= 0.04 AND (mark OR v >= 0.12) AS landmark FROM v""")
 def landmarks(spark, sf_dir):
     (o,) = scene(spark, sf_dir, "objects")
     return o.select("object_id", O.is_meaningful(0.04).alias("meaningful"), O.is_landmark().alias("landmark"))
 
 
+@query(f"WITH {LAB} SELECT label, array_to_string(list_sort(g), ',') AS groups, array_to_string(list_sort(ap), ',') AS looks, mark, occ FROM lab")
+def label_group_table(spark, sf_dir):
+    labels = O.candidate_objects(scene(spark, sf_dir, "objects")[0]).select("label").distinct()
+    of = lambda table: F.array_join(F.array_sort(L.groups(F.col("label"), table)), ",")
+    return labels.select("label", of(L.SEMANTIC).alias("groups"), of(L.APPEARANCE).alias("looks"), L.matches(F.col("label"), L.LANDMARK).alias("mark"), L.matches(F.col("label"), L.OCCLUDERS).alias("occ"))
+
+
 REASONS = """d AS (SELECT object_id, label, max_x - min_x AS a, max_y - min_y AS b, max_z - min_z AS c FROM {objects}),
-reasons AS (SELECT object_id, label, CASE WHEN label IN ('wall', 'floor', 'ceiling', 'door', 'window') THEN 'blacklisted' WHEN LEAST(a, b, c) < 0.2 THEN 'too_small_side'
+reasons AS (SELECT object_id, label, CASE WHEN label IN ('wall', 'floor', 'ceiling', 'room') THEN 'blacklisted' WHEN LEAST(a, b, c) < 0.2 THEN 'too_small_side'
   WHEN GREATEST(a, b, c) > 0.9 THEN 'too_large' WHEN a * b * c < 0.1 THEN 'too_small_volume' WHEN LEAST(a, b, c) < 0.05 * GREATEST(a, b, c) THEN 'too_flat' END AS reason FROM d)"""
 
 
@@ -72,7 +80,7 @@ def reject_report(spark, sf_dir):
 def assign_room(spark, sf_dir):
     objects, rooms = scene(spark, sf_dir, "objects", "rooms")
     centers = objects.withColumns({"cx": G.center("x"), "cy": G.center("y")})
-    return O.assign_room(centers, O.with_polygons(rooms), "object_id", "cx", "cy")
+    return O.assign_room(centers, O.with_polygons(rooms), "object_id", "cx", "cy").select("object_id", "room_id")
 
 
 @query(f"""WITH {ROOMED} SELECT object_id, COUNT(*) OVER (PARTITION BY scene_id, label) = 1 AS unique_in_scene,
@@ -81,9 +89,9 @@ def unique_objects(spark, sf_dir):
     return O.unique_objects(roomed(spark, sf_dir)).select("object_id", "unique_in_scene", "unique_in_room")
 
 
-@query(f"WITH {ROOMED} SELECT scene_id, room_id, label, COUNT(*) AS n FROM roomed GROUP BY scene_id, room_id, label HAVING COUNT(*) >= 3")
+@query(f"WITH {ROOMED} SELECT scene_id, room_id, label, COUNT(*) AS n FROM roomed GROUP BY scene_id, room_id, label HAVING COUNT(*) >= 2")
 def label_groups_min(spark, sf_dir):
-    return roomed(spark, sf_dir).groupBy("scene_id", "room_id", "label").agg(F.count("*").alias("n")).where("n >= 3")
+    return roomed(spark, sf_dir).groupBy("scene_id", "room_id", "label").agg(F.count("*").alias("n")).where("n >= 2")
 
 
 @query("SELECT label, COUNT(*) AS n, array_to_string(list_sort(LIST(object_id)), ',') AS ids FROM {objects} GROUP BY label")
@@ -99,11 +107,15 @@ def zone_counts(spark, sf_dir):
     return O.zone_counts(roomed(spark, sf_dir), 12)
 
 
-@query(f"""WITH {ROOMED}, l AS (SELECT room_id, list_distinct(LIST(label)) AS l FROM roomed GROUP BY room_id),
-b AS (SELECT r.scene_id, r.room_id, CASE WHEN list_contains(l, 'bed') AND list_contains(l, 'lamp') THEN 'bedroom' WHEN list_contains(l, 'sofa') AND list_contains(l, 'table') THEN 'living room'
-  WHEN list_contains(l, 'book') AND list_contains(l, 'chair') THEN 'study' ELSE 'room ' || r.room_id END AS base FROM {{rooms}} r LEFT JOIN l USING (room_id)),
-n AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY scene_id, base ORDER BY room_id) AS n FROM b)
-SELECT scene_id, room_id, CASE WHEN n > 1 THEN base || ' ' || n ELSE base END AS name FROM n""")
+NAMES = " UNION ALL ".join(f"SELECT {i} AS i, '{n}' AS name, [{named(words)}] AS words" for i, (n, words) in enumerate(L.ROOM_NAMES.items()))
+
+
+@query(f"""WITH {ROOMED}, k AS ({NAMES}), l AS (SELECT scene_id, room_id, list_distinct(LIST(label)) AS l FROM roomed GROUP BY scene_id, room_id),
+sc AS (SELECT scene_id, room_id, name, i, len(list_intersect(l, words)) AS s FROM l CROSS JOIN k),
+best AS (SELECT scene_id, room_id, ARG_MIN(name, (-s, i)) AS name, MAX(s) AS s FROM sc GROUP BY 1, 2),
+b AS (SELECT r.scene_id, r.room_id, CASE WHEN s >= 2 THEN name ELSE 'room ' || ROW_NUMBER() OVER (PARTITION BY r.scene_id ORDER BY r.room_id) END AS base FROM {{rooms}} r LEFT JOIN best USING (scene_id, room_id)),
+n AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY scene_id, base ORDER BY room_id) AS n, COUNT(*) OVER (PARTITION BY scene_id, base) AS m FROM b)
+SELECT scene_id, room_id, CASE WHEN m > 1 THEN base || ' ' || n ELSE base END AS name FROM n""")
 def room_names(spark, sf_dir):
     (rooms,) = scene(spark, sf_dir, "rooms")
     return O.room_names(roomed(spark, sf_dir), rooms)
@@ -144,30 +156,46 @@ def group_axis(spark, sf_dir):
   AND (px - (min_x + max_x) / 2) * (px - (min_x + max_x) / 2) + (py - (min_y + max_y) / 2) * (py - (min_y + max_y) / 2) < 0.04)""")
 def far_from_objects(spark, sf_dir):
     views, objects = scene(spark, sf_dir, "views", "objects")
-    return O.far_from_objects(views, objects, "view_id", 0.2).select("view_id")
+    return O.far_from_objects(views, objects, 0.2).select("view_id")
 
 
-@query("""SELECT v.view_id FROM {views} v WHERE NOT EXISTS (SELECT 1 FROM {objects} o WHERE o.scene_id = v.scene_id
-  AND px BETWEEN min_x - 0.05 AND max_x + 0.05 AND py BETWEEN min_y - 0.05 AND max_y + 0.05 AND pz BETWEEN min_z - 0.05 AND max_z + 0.05)""")
+IN_ROOM = "EXISTS (SELECT 1 FROM {{rooms}} r WHERE r.scene_id = v.scene_id AND px >= x0 AND px < x1 AND py >= y0 AND py < y1)".replace("{{", "{").replace("}}", "}")
+INSIDE = "o.scene_id = v.scene_id AND px BETWEEN min_x - {t} AND max_x + {t} AND py BETWEEN min_y - {t} AND max_y + {t} AND pz BETWEEN min_z - {t} AND max_z + {t}"
+
+
+@query("SELECT v.view_id FROM {views} v WHERE " + IN_ROOM + " AND NOT EXISTS (SELECT 1 FROM {objects} o WHERE " + INSIDE.format(t=0.0) + ") AND NOT EXISTS (SELECT 1 FROM {objects} o WHERE o.scene_id = v.scene_id AND POW(px - (min_x + max_x) / 2, 2) + POW(py - (min_y + max_y) / 2, 2) < 0.04)")
+def valid_positions(spark, sf_dir):
+    views, rooms, objects = scene(spark, sf_dir, "views", "rooms", "objects")
+    return O.valid_positions(views, O.with_polygons(rooms), objects).select("view_id")
+
+
+@query("SELECT v.view_id FROM {views} v WHERE " + IN_ROOM + " AND NOT EXISTS (SELECT 1 FROM (SELECT * FROM {objects} UNION ALL BY NAME SELECT * FROM {walls}) o WHERE " + INSIDE.format(t=0.25) + ")")
 def legal_positions(spark, sf_dir):
-    views, objects = scene(spark, sf_dir, "views", "objects")
-    boxes = objects.withColumnRenamed("scene_id", "box_scene")
-    inside = (F.col("scene_id") == F.col("box_scene")) & G.in_box(F.col("px"), F.col("py"), F.col("pz"), margin=0.05)
-    return views.join(boxes, inside, "left_anti").select("view_id")
+    views, rooms, objects, walls = scene(spark, sf_dir, "views", "rooms", "objects", "walls")
+    return O.legal_positions(views, O.with_polygons(rooms), objects, walls, 0.25).select("view_id")
+
+
+@query("SELECT scene_id, COUNT(*) AS n, COUNT(*) FILTER (label = 'wall') AS walls FROM (SELECT * FROM {objects} UNION ALL BY NAME SELECT * FROM {walls}) GROUP BY scene_id")
+def all_blockers(spark, sf_dir):
+    objects, walls = scene(spark, sf_dir, "objects", "walls")
+    return O.blockers_of(objects, walls).groupBy("scene_id").agg(F.count("*").alias("n"), F.count_if(F.col("label") == "wall").alias("walls"))
 
 
 @query("""WITH b AS (SELECT scene_id, MIN(min_x) AS ax, MAX(max_x) AS bx, MIN(min_y) AS ay, MAX(max_y) AS cy FROM {objects} GROUP BY scene_id)
-SELECT v.view_id FROM {views} v JOIN b USING (scene_id) WHERE px BETWEEN ax - 0.5 AND bx + 0.5 AND py BETWEEN ay - 0.5 AND cy + 0.5""")
+SELECT v.view_id FROM {views} v JOIN b USING (scene_id) WHERE px BETWEEN ax - 0.5 AND bx + 0.5 AND py BETWEEN ay - 0.5 AND cy + 0.5
+AND NOT EXISTS (SELECT 1 FROM {objects} o WHERE """ + INSIDE.format(t=0.0) + ")")
 def pose_in_bounds(spark, sf_dir):
     views, objects = scene(spark, sf_dir, "views", "objects")
     bounds = objects.groupBy("scene_id").agg(F.min("min_x").alias("ax"), F.max("max_x").alias("bx"), F.min("min_y").alias("ay"), F.max("max_y").alias("cy"))
-    return views.join(bounds, "scene_id").where("px BETWEEN ax - 0.5 AND bx + 0.5 AND py BETWEEN ay - 0.5 AND cy + 0.5").select("view_id")
+    within = views.join(bounds, "scene_id").where("px BETWEEN ax - 0.5 AND bx + 0.5 AND py BETWEEN ay - 0.5 AND cy + 0.5")
+    return O.outside_boxes(within, objects, 0.0).select("view_id")
 
 
-@query("SELECT scene_id, object_id, 'object' AS kind FROM {objects} UNION ALL SELECT scene_id, room_a AS object_id, 'portal' AS kind FROM {portals}")
+@query("""SELECT scene_id, object_id, 'object' AS kind, ROUND(max_x - min_x, 6) AS dx, ROUND(max_y - min_y, 6) AS dy FROM {objects}
+UNION ALL SELECT scene_id, portal_id, 'portal', 0.1, ROUND(width, 6) FROM {portals}""")
 def targets_with_portals(spark, sf_dir):
     objects, portals = scene(spark, sf_dir, "objects", "portals")
-    return objects.select("scene_id", "object_id", F.lit("object").alias("kind")).unionByName(portals.select("scene_id", F.col("room_a").alias("object_id"), F.lit("portal").alias("kind")))
+    return O.targets(objects, portals).select("scene_id", "object_id", "kind", r6(G.dim("x"), "dx"), r6(G.dim("y"), "dy"))
 
 
 @query("""SELECT p.room_a, o.object_id, ROUND(width - LEAST(max_x - min_x, max_y - min_y), 6) AS margin FROM {portals} p JOIN {objects} o USING (scene_id)
@@ -181,12 +209,12 @@ def clearance_pairs(spark, sf_dir):
 
 @query(f"""WITH {ROOMED}, have AS (SELECT DISTINCT scene_id, room_id, label FROM roomed)
 SELECT a.room_id AS room_a, b.room_id AS room_b, a.label FROM have a JOIN {{rooms}} b ON a.scene_id = b.scene_id AND a.room_id <> b.room_id
-WHERE NOT EXISTS (SELECT 1 FROM have h WHERE h.room_id = b.room_id AND h.label = a.label)""")
+WHERE NOT EXISTS (SELECT 1 FROM have h WHERE h.scene_id = b.scene_id AND h.room_id = b.room_id AND h.label = a.label)""")
 def absent_label_decoys(spark, sf_dir):
     (rooms,) = scene(spark, sf_dir, "rooms")
     have = roomed(spark, sf_dir).select("scene_id", "room_id", "label").distinct()
     a = have.withColumnRenamed("room_id", "room_a").join(rooms.select("scene_id", F.col("room_id").alias("room_b")), "scene_id").where("room_a <> room_b")
-    return a.join(have.select(F.col("room_id").alias("room_b"), "label"), ["room_b", "label"], "left_anti").select("room_a", "room_b", "label")
+    return a.join(have.select("scene_id", F.col("room_id").alias("room_b"), "label"), ["scene_id", "room_b", "label"], "left_anti").select("room_a", "room_b", "label")
 
 
 @query("SELECT object_id FROM {objects} EXCEPT ALL SELECT object_id FROM {objects} WHERE max_z - min_z >= 0.3")

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from atrium.functions import geometry as G
 from atrium.operators import objects as O
+from atrium.functions import labels as L
+from atrium.plans.label_sql import LAB
 from atrium.plans.q_objects import ROOMED, r6, roomed
 from atrium.plans.registry import query
 
@@ -60,37 +62,41 @@ def compass_relations(spark, sf_dir):
     return pairs(spark, sf_dir).groupBy("room_id", G.compass8(dx, dy).alias("relation")).agg(F.count("*").alias("n"))
 
 
-SIDES = "list_sort([{p}dx / GREATEST({p}dx, {p}dy, {p}dz), {p}dy / GREATEST({p}dx, {p}dy, {p}dz), {p}dz / GREATEST({p}dx, {p}dy, {p}dz)])"
-SHAPED = f"{PAIRS}, s AS (SELECT *, {SIDES.format(p='a')} AS sa, {SIDES.format(p='b')} AS sb FROM p), shaped AS (SELECT *, (ABS(sa[1] - sb[1]) + ABS(sa[2] - sb[2]) + ABS(sa[3] - sb[3])) / 3 AS shape FROM s)"
+SIDES = "list_sort([{p}dx / SQRT({p}dx * {p}dx + {p}dy * {p}dy + {p}dz * {p}dz), {p}dy / SQRT({p}dx * {p}dx + {p}dy * {p}dy + {p}dz * {p}dz), {p}dz / SQRT({p}dx * {p}dx + {p}dy * {p}dy + {p}dz * {p}dz)])"
+SHAPED = f"{PAIRS}, s AS (SELECT *, {SIDES.format(p='a')} AS sa, {SIDES.format(p='b')} AS sb FROM p), shaped AS (SELECT *, list_distance(sa, sb) AS shape FROM s)"
 
 
-@query(f"""WITH {SHAPED} SELECT a_id, b_id, ROUND(shape, 6) AS shape FROM shaped WHERE shape <= 0.02 AND GREATEST(adx * ady * adz, bdx * bdy * bdz) <= 2.5 * LEAST(adx * ady * adz, bdx * bdy * bdz)""")
+@query(f"""WITH {SHAPED} SELECT a_id, b_id, ROUND(shape, 6) AS shape FROM shaped WHERE shape <= 0.18 AND GREATEST(adx * ady * adz, bdx * bdy * bdz) <= 2.5 * LEAST(adx * ady * adz, bdx * bdy * bdz)""")
 def similar_shapes(spark, sf_dir):
-    return pairs(spark, sf_dir).where(G.similar_shape("a_", "b_", 0.02)).select(F.col("a_object_id").alias("a_id"), F.col("b_object_id").alias("b_id"), r6(G.shape_distance("a_", "b_"), "shape"))
+    return pairs(spark, sf_dir).where(G.similar_shape("a_", "b_")).select(F.col("a_object_id").alias("a_id"), F.col("b_object_id").alias("b_id"), r6(G.shape_distance("a_", "b_"), "shape"))
 
 
-GROUP_SQL = "list_filter([CASE WHEN {l} IN ('lamp', 'plant', 'book') THEN 'decor' END, CASE WHEN {l} IN ('bed', 'sofa') THEN 'rest' END, CASE WHEN {l} IN ('chair', 'sofa') THEN 'seating' END, CASE WHEN {l} IN ('table', 'cabinet') THEN 'surface' END], lambda g: g IS NOT NULL)"
-OVERLAP = f"list_has_any({GROUP_SQL.format(l='a_label')}, {GROUP_SQL.format(l='b_label')})"
+@query(f"WITH {LAB}, {PAIRS} SELECT a_label, b_label, comparable, close, COUNT(*) AS n FROM p JOIN lp ON a_label = la AND b_label = lb GROUP BY 1, 2, 3, 4")
+def comparable_labels(spark, sf_dir):
+    p = O.object_pairs(L.with_groups(roomed(spark, sf_dir)))
+    return p.groupBy("a_label", "b_label", L.comparable().alias("comparable"), L.close().alias("close")).agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {PAIRS} SELECT a_label, b_label, a_label <> b_label AND {OVERLAP} AS comparable, a_label = b_label OR {OVERLAP} AS close, COUNT(*) AS n FROM p GROUP BY 1, 2, 3, 4")
-def comparable_labels(spark, sf_dir):
-    a, b = F.col("a_label"), F.col("b_label")
-    return pairs(spark, sf_dir).groupBy("a_label", "b_label", O.comparable(a, b).alias("comparable"), O.close_labels(a, b).alias("close")).agg(F.count("*").alias("n"))
+DISTRACTORS = """q AS (SELECT scene_id, a_id AS object_id, a_label AS me, b_label AS label, ROUND(shape, 9) AS shape FROM shaped WHERE a_label <> b_label UNION ALL SELECT scene_id, b_id, b_label, a_label, ROUND(shape, 9) FROM shaped WHERE a_label <> b_label),
+m AS (SELECT scene_id, object_id, label, alike, MIN(shape) AS shape FROM q JOIN lp ON me = la AND label = lb WHERE confusable GROUP BY 1, 2, 3, 4),
+o AS (SELECT *, BOOL_OR(alike) OVER (PARTITION BY scene_id, object_id) AS any_alike FROM m),
+ranked AS (SELECT scene_id, object_id, label, ROW_NUMBER() OVER (PARTITION BY scene_id, object_id ORDER BY shape, label) AS rank FROM o WHERE alike OR NOT any_alike)"""
 
 
-@query(f"""WITH {SHAPED}, q AS (SELECT a_id AS object_id, b_label AS label, NOT (a_label = b_label OR {OVERLAP}) AS far, ROUND(shape, 9) AS shape FROM shaped WHERE a_label <> b_label
-UNION ALL SELECT b_id, a_label, NOT (a_label = b_label OR {OVERLAP}), ROUND(shape, 9) FROM shaped WHERE a_label <> b_label),
-m AS (SELECT object_id, label, MIN(far::INT) AS far, MIN(shape) AS shape FROM q GROUP BY 1, 2), k AS (SELECT object_id, label, ROW_NUMBER() OVER (PARTITION BY object_id ORDER BY far, shape, label) AS rank FROM m)
-SELECT object_id, rank, label FROM k WHERE rank <= 3""")
+@query(f"WITH {LAB}, {SHAPED}, {DISTRACTORS} SELECT object_id, rank, label FROM ranked WHERE rank <= 3")
 def distractor_labels(spark, sf_dir):
-    return O.distractor_labels(pairs(spark, sf_dir))
+    return O.distractor_labels(roomed(spark, sf_dir)).select("object_id", "rank", "label")
+
+
+@query(f"WITH {PAIRS}, q AS (SELECT a_id AS object_id, xy FROM p UNION ALL SELECT b_id, xy FROM p) SELECT object_id, ROUND(MIN(xy), 6) AS d FROM q GROUP BY object_id")
+def nearest_in_cells(spark, sf_dir):
+    return O.nearest_in_cells(roomed(spark, sf_dir)).select("object_id", r6(F.col("d"), "d"))
 
 
-@query(f"""WITH {PAIRS}, n AS (SELECT * FROM p WHERE a_label <> b_label AND d3 <= 0.4)
+@query(f"""WITH {PAIRS}, n AS (SELECT * FROM p WHERE a_label <> b_label AND d3 <= 1.5)
 SELECT x.a_id, x.b_id, y.b_id AS c_id, ROUND(GREATEST(x.d3, y.d3, z.d3), 6) AS spread FROM n x JOIN n y ON x.room_id = y.room_id AND x.b_id = y.a_id JOIN n z ON z.room_id = x.room_id AND z.a_id = x.a_id AND z.b_id = y.b_id""")
 def object_triples(spark, sf_dir):
-    t = O.near_triples(roomed(spark, sf_dir), 0.4)
+    t = O.near_triples(roomed(spark, sf_dir), 1.5)
     return t.select(F.col("a_object_id").alias("a_id"), F.col("b_object_id").alias("b_id"), F.col("c_object_id").alias("c_id"), r6(F.greatest("d_ab", "d_bc", "d_ac"), "spread"))
 
 

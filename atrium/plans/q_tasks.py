@@ -82,7 +82,7 @@ def action_mix(spark, sf_dir):
     return T.action_mix(scene(spark, sf_dir, "traj_steps")[0], X.action_class(F.col("action")))
 
 
-@query("""SELECT task_id, COUNT(*) AS n, string_agg(replace(action, '_', ' '), ', ' ORDER BY step) AS described, CASE WHEN COUNT(*) <= 3 THEN 'easy' WHEN COUNT(*) <= 6 THEN 'medium' ELSE 'hard' END AS difficulty FROM {traj_steps} GROUP BY task_id""")
+@query("""SELECT task_id, COUNT(*) AS n, string_agg(replace(action, '_', ' '), ', ' ORDER BY step) AS described, CASE WHEN COUNT(*) <= 1 THEN 'easy' WHEN COUNT(*) <= 3 THEN 'medium' WHEN COUNT(*) <= 5 THEN 'hard' ELSE 'expert' END AS difficulty FROM {traj_steps} GROUP BY task_id""")
 def described_actions(spark, sf_dir):
     steps = F.transform(F.sort_array(F.collect_list(F.struct("step", "action"))), lambda s: s["action"])
     grouped = scene(spark, sf_dir, "traj_steps")[0].groupBy("task_id").agg(F.count("*").alias("n"), steps.alias("actions"))
@@ -126,11 +126,15 @@ def room_edges(spark, sf_dir):
     return T.room_edges(scene(spark, sf_dir, "portals")[0])
 
 
-@query("""SELECT a.scene_id, a.room_id AS start, b.room_id AS blocked, c.room_id AS room, CAST(ABS(c.room_id - a.room_id) AS INT) AS hops FROM {rooms} a JOIN {rooms} b ON a.scene_id = b.scene_id AND a.room_id <> b.room_id JOIN {rooms} c ON c.scene_id = a.scene_id
-WHERE c.room_id <> b.room_id AND NOT (b.room_id BETWEEN LEAST(a.room_id, c.room_id) AND GREATEST(a.room_id, c.room_id))""")
+REACH = """e AS (SELECT scene_id, room_a AS src, room_b AS dst FROM {portals} UNION SELECT scene_id, room_b, room_a FROM {portals}),
+reach(scene_id, start, blocked, room) AS (SELECT a.scene_id, a.room_id, b.room_id, a.room_id FROM {rooms} a JOIN {rooms} b ON a.scene_id = b.scene_id AND a.room_id <> b.room_id
+  UNION SELECT r.scene_id, r.start, r.blocked, e.dst FROM reach r JOIN e ON r.scene_id = e.scene_id AND r.room = e.src WHERE e.dst <> r.blocked)"""
+
+
+@query(f"WITH RECURSIVE {REACH} SELECT scene_id, start, blocked, room FROM reach")
 def reachable_rooms(spark, sf_dir):
     portals, rooms = scene(spark, sf_dir, "portals", "rooms")
-    return T.reachable(T.room_edges(portals), rooms)
+    return T.reachable(T.room_edges(portals), T.starts(rooms)).select("scene_id", "start", "blocked", "room")
 
 
 @query("""WITH w AS (SELECT task_id, step, LEAD(px) OVER w - px AS dx, LEAD(py) OVER w - py AS dy FROM {traj_steps} WINDOW w AS (PARTITION BY task_id ORDER BY step)),

@@ -6,7 +6,7 @@ from atrium.functions import text as X
 from atrium.plans.registry import query
 from atrium.plans.scenes import scene
 
-PLURAL = r"""CASE WHEN regexp_matches(w, '(s|x|z|ch|sh)$') THEN w || 'es' WHEN regexp_matches(w, '[^aeiou]y$') THEN regexp_replace(w, 'y$', '') || 'ies' WHEN regexp_matches(w, 'shelf$') THEN regexp_replace(w, 'f$', 'ves') ELSE w || 's' END"""
+PLURAL = r"""CASE WHEN w = '' OR lower(w) LIKE '%s' THEN w WHEN regexp_matches(lower(w), '(x|z|ch|sh)$') THEN w || 'es' WHEN lower(w) LIKE '%fe' THEN w[:-3] || 'ves' WHEN lower(w) LIKE '%f' AND lower(w) NOT LIKE '%ff' THEN w[:-2] || 'ves' WHEN regexp_matches(lower(w), '[^aeiou]y$') THEN w[:-2] || 'ies' ELSE w || 's' END"""
 
 
 @query(f"WITH l AS (SELECT DISTINCT label AS w FROM {{objects}} UNION SELECT DISTINCT c_mktsegment FROM {{customer}}) SELECT w AS label, {PLURAL} AS plural, trim(regexp_replace(lower(replace(w, '_', ' ')), ' +', ' ', 'g')) AS normal FROM l")
@@ -21,10 +21,13 @@ def ordinals(spark, sf_dir):
     return scene(spark, sf_dir, "nation")[0].select(F.col("n_nationkey").alias("n"), X.ordinal(F.col("n_nationkey")).alias("ordinal"))
 
 
-@query(r"""SELECT doc_id, regexp_matches(text, '(?i)\bthat\b') AS deictic, regexp_matches(text, '(?i)\ban? [a-z0-9_]+s\b') AS plural_article FROM {documents} WHERE lang = 'en'""")
+@query(r"""WITH n AS (SELECT doc_id, lower(text) AS t, 1 AS one FROM {documents})
+SELECT doc_id, regexp_matches(t, '(^|[^a-z0-9_])that([^a-z0-9_]|$)') AS deictic, regexp_matches(t, '(^|[^a-z0-9_])other([^a-z0-9_]|$)') AS generic,
+len(list_filter(regexp_extract_all(t, '(?:^|[^a-z0-9_])an? ([a-z0-9_]+)', 1), lambda w: w LIKE '%s' AND NOT regexp_matches(w, '(ss|us|is)$'))) > 0 AS plural_article FROM n""")
 def text_issues(spark, sf_dir):
-    docs = scene(spark, sf_dir, "documents")[0].where("lang = 'en'").withColumn("issues", X.text_issues(F.col("text")))
-    return docs.select("doc_id", F.array_contains("issues", "deictic_that").alias("deictic"), F.array_contains("issues", "article_plural").alias("plural_article"))
+    docs = scene(spark, sf_dir, "documents")[0].withColumn("issues", X.text_issues(F.col("text")))
+    has = lambda name: F.array_contains("issues", name)
+    return docs.select("doc_id", has("deictic_that").alias("deictic"), has("generic_other").alias("generic"), has("article_plural").alias("plural_article"))
 
 
 @query("""SELECT object_id, 'How far is the ' || label || ' with id ' || object_id || '?' AS question, CASE object_id % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'C' END AS letter FROM {objects}""")

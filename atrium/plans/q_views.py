@@ -1,65 +1,236 @@
 """Queries over camera views and what they see."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from atrium.functions import geometry as G
+from atrium.functions import text as X
 from atrium.operators import objects as O
-from atrium.operators import views as V
+from atrium.operators import occlusion, views as V
+from atrium.operators import predicates as P
 from atrium.plans.q_objects import ROOMED, r6, roomed
 from atrium.plans.registry import query
 from atrium.plans.scenes import scene
 
-SEEN = f"""{ROOMED}, vr AS (SELECT v.*, r.room_id FROM {{views}} v JOIN {{rooms}} r ON v.scene_id = r.scene_id AND px >= x0 AND px < x1 AND py >= y0 AND py < y1),
-vo AS (SELECT vr.view_id, o.object_id, o.label, px, py, pz, fx, fy, min_x, max_x, min_y, max_y, min_z, max_z FROM vr JOIN roomed o ON vr.scene_id = o.scene_id AND vr.room_id = o.room_id),
-cs AS (SELECT *, UNNEST([min_x, max_x]) AS x FROM vo), cs2 AS (SELECT *, UNNEST([min_y, max_y]) AS y FROM cs), cs3 AS (SELECT *, UNNEST([min_z, max_z]) AS z FROM cs2),
-dep AS (SELECT *, (x - px) * fx + (y - py) * fy AS depth FROM cs3),
-uv AS (SELECT *, CASE WHEN depth > 1e-6 THEN 200.0 + 160.0 * ((x - px) * fy - (y - py) * fx) / depth END AS u, CASE WHEN depth > 1e-6 THEN 200.0 + 160.0 * (pz - z) / depth END AS v FROM dep),
-ins AS (SELECT *, COALESCE(u >= 0 AND u < 400 AND v >= 0 AND v < 400, FALSE) AS i FROM uv),
-seen AS (SELECT view_id, object_id, ANY_VALUE(label) AS label, COUNT(*) FILTER (i) AS n_corners, COALESCE(MAX(u) FILTER (i) - MIN(u) FILTER (i), 0.0) AS box_w, COALESCE(MAX(v) FILTER (i) - MIN(v) FILTER (i), 0.0) AS box_h FROM ins GROUP BY 1, 2)"""
+#: vr: views in a room with their camera's axes; vo: beside the room's objects; cor: corners, raw and a little inside, with pixels.
+SEEN = f"""{ROOMED}, vr AS (SELECT v.*, r.room_id, SQRT(POW(tx - px, 2) + POW(ty - py, 2) + POW(tz - pz, 2)) + 1e-8 AS size, (tx - px) / size AS gx, (ty - py) / size AS gy, (tz - pz) / size AS gz,
+  SQRT(gx * gx + gy * gy) AS lev, gy / lev AS rx, -gx / lev AS ry, ry * gz AS ux, -rx * gz AS uy, rx * gy - ry * gx AS uz FROM {{views}} v JOIN {{rooms}} r ON v.scene_id = r.scene_id AND px >= x0 AND px < x1 AND py >= y0 AND py < y1),
+vo AS (SELECT vr.*, o.object_id, o.label, min_x, max_x, min_y, max_y, min_z, max_z FROM vr JOIN roomed o ON vr.scene_id = o.scene_id AND vr.room_id = o.room_id),
+cor AS (SELECT *, (x - px) * gx + (y - py) * gy + (z - pz) * gz AS depth, CASE WHEN depth > 1e-6 THEN 200.0 - 160.0 * ((x - px) * rx + (y - py) * ry) / depth END AS u, CASE WHEN depth > 1e-6 THEN 200.0 + 160.0 * ((x - px) * ux + (y - py) * uy + (z - pz) * uz) / depth END AS v,
+  COALESCE(u >= 0 AND u < 400 AND v >= 0 AND v < 400, FALSE) AS i FROM (SELECT *, UNNEST([min_z + m * LEAST((max_z - min_z) / 2 * 0.05, 0.05), max_z - m * LEAST((max_z - min_z) / 2 * 0.05, 0.05)]) AS z FROM
+  (SELECT *, UNNEST([min_y + m * LEAST((max_y - min_y) / 2 * 0.05, 0.05), max_y - m * LEAST((max_y - min_y) / 2 * 0.05, 0.05)]) AS y FROM
+  (SELECT *, UNNEST([min_x + m * LEAST((max_x - min_x) / 2 * 0.05, 0.05), max_x - m * LEAST((max_x - min_x) / 2 * 0.05, 0.05)]) AS x FROM (SELECT *, UNNEST([0, 1]) AS m FROM vo))))),
+seen AS (SELECT scene_id, view_id, object_id, ANY_VALUE(room_id) AS room_id, ANY_VALUE(label) AS label, COUNT(*) FILTER (i) AS n_corners, COALESCE(MAX(u) FILTER (i) - MIN(u) FILTER (i), 0.0) AS box_w, COALESCE(MAX(v) FILTER (i) - MIN(v) FILTER (i), 0.0) AS box_h,
+  AVG(u) FILTER (i) AS mean_u, AVG(v) FILTER (i) AS mean_v FROM cor WHERE m = 0 GROUP BY 1, 2, 3)"""
+
+
+def slabs(point="s.{a}"):
+    """Per axis where the way from the camera to a point enters and leaves box b, in parts of the way."""
+    near, leave = [], []
+    for a in "xyz":
+        d = f"({point.format(a=a)} - s.p{a})"
+        inside = f"s.p{a} BETWEEN b.min_{a} AND b.max_{a}"
+        near.append(f"CASE WHEN ABS({d}) < 1e-12 THEN CASE WHEN {inside} THEN -1e300 ELSE 1e300 END ELSE LEAST((b.min_{a} - s.p{a}) / {d}, (b.max_{a} - s.p{a}) / {d}) END")
+        leave.append(f"CASE WHEN ABS({d}) < 1e-12 THEN CASE WHEN {inside} THEN 1e300 ELSE -1e300 END ELSE GREATEST((b.min_{a} - s.p{a}) / {d}, (b.max_{a} - s.p{a}) / {d}) END")
+    way = " + ".join(f"POW({point.format(a=a)} - s.p{a}, 2)" for a in "xyz")
+    return f"GREATEST({', '.join(near)}) AS enter_, LEAST({', '.join(leave)}) AS leave_, SQRT({way}) AS way"
+
+
+TOUCH = " AND ".join(f"b.min_{a} <= s.max_{a} + 0.001 AND b.max_{a} >= s.min_{a} - 0.001" for a in "xyz")
+BLOCKERS = "bl AS (SELECT * FROM {objects} UNION ALL BY NAME SELECT * FROM {walls})"
+VIS = f"""{SEEN}, {BLOCKERS}, ray AS (SELECT s.scene_id, s.view_id, s.object_id, s.x, s.y, s.z, {slabs()} FROM cor s JOIN bl b ON s.scene_id = b.scene_id AND s.object_id <> b.object_id WHERE s.m = 1 AND s.i AND NOT ({TOUCH})),
+hid AS (SELECT DISTINCT scene_id, view_id, object_id, x, y, z FROM ray WHERE enter_ <= leave_ AND enter_ >= 0 AND leave_ * way > 0.001 AND enter_ * way <= way - GREATEST(0.001, 0.02 * way)),
+ins AS (SELECT scene_id, view_id, object_id, COUNT(*) FILTER (i) AS inside FROM cor WHERE m = 1 GROUP BY 1, 2, 3), hn AS (SELECT scene_id, view_id, object_id, COUNT(*) AS blocked FROM hid GROUP BY 1, 2, 3),
+vis AS (SELECT seen.*, vo.* EXCLUDE (scene_id, view_id, object_id, room_id, label), inside - COALESCE(blocked, 0) AS n_visible, CASE WHEN inside = 0 THEN 1.0 ELSE COALESCE(blocked, 0) / inside END AS occluded,
+  (min_x + max_x) / 2 AS cx, (min_y + max_y) / 2 AS cy, (min_z + max_z) / 2 AS cz, SQRT(POW((min_x + max_x) / 2 - px, 2) + POW((min_y + max_y) / 2 - py, 2) + POW((min_z + max_z) / 2 - pz, 2)) AS distance,
+  CASE WHEN ABS(cx - px) < 1e-9 AND ABS(cy - py) < 1e-9 THEN 90.0 ELSE DEGREES(ATAN2(gx * ((min_y + max_y) / 2 - py) - gy * ((min_x + max_x) / 2 - px), gx * ((min_x + max_x) / 2 - px) + gy * ((min_y + max_y) / 2 - py))) END AS bearing,
+  DEGREES(ACOS(GREATEST(-1.0, LEAST(1.0, (((min_x + max_x) / 2 - px) * gx + ((min_y + max_y) / 2 - py) * gy + ((min_z + max_z) / 2 - pz) * gz) / distance)))) AS angle
+  FROM seen JOIN vo USING (scene_id, view_id, object_id) JOIN ins USING (scene_id, view_id, object_id) LEFT JOIN hn USING (scene_id, view_id, object_id))"""
+OK = "(n_visible >= 4 AND occluded <= 0.3)"
+
+
+def placed(spark, sf_dir):
+    """Views with their room and their camera's axes."""
+    views, rooms = scene(spark, sf_dir, "views", "rooms")
+    return V.with_camera(views.join(O.assign_room(views, O.with_polygons(rooms), "view_id", "px", "py").where("room_id IS NOT NULL"), ["scene_id", "view_id"]))
 
 
 def seen(spark, sf_dir):
-    views, rooms = scene(spark, sf_dir, "views", "rooms")
-    placed = views.join(O.assign_room(views, O.with_polygons(rooms), "view_id", "px", "py").where("room_id IS NOT NULL"), "view_id")
-    return V.with_projection(V.view_objects(placed, roomed(spark, sf_dir)))
+    return V.with_projection(V.view_objects(placed(spark, sf_dir), roomed(spark, sf_dir)))
+
+
+def visibility(spark, sf_dir):
+    objects, walls = scene(spark, sf_dir, "objects", "walls")
+    return occlusion.visibility(seen(spark, sf_dir), O.blockers_of(objects, walls))
+
+
+@query(f"WITH {SEEN} SELECT view_id, COUNT(*) AS n_objects, COUNT(*) FILTER (n_corners >= 4) AS n_framed, COUNT(*) FILTER (n_corners = 8) AS n_whole FROM seen GROUP BY view_id")
+def view_object_projection(spark, sf_dir):
+    return seen(spark, sf_dir).groupBy("view_id").agg(F.count("*").alias("n_objects"), F.count_if(V.in_frame()).alias("n_framed"), F.count_if(V.in_frame(8)).alias("n_whole"))
 
 
-@query(f"WITH {SEEN} SELECT view_id, COUNT(*) AS n_objects, COUNT(*) FILTER (n_corners >= 4) AS n_visible, COUNT(*) FILTER (n_corners = 8) AS n_whole FROM seen GROUP BY view_id")
+@query(f"WITH {VIS} SELECT view_id, COUNT(*) AS n_objects, COUNT(*) FILTER {OK.replace('(', '(WHERE ', 1)} AS n_visible, CAST(SUM(n_visible) AS BIGINT) AS corners, ROUND(AVG(occluded), 6) AS occluded FROM vis GROUP BY view_id")
 def view_object_visibility(spark, sf_dir):
-    return seen(spark, sf_dir).groupBy("view_id").agg(F.count("*").alias("n_objects"), F.count_if(V.visible()).alias("n_visible"), F.count_if(V.visible(8)).alias("n_whole"))
+    return visibility(spark, sf_dir).groupBy("view_id").agg(F.count("*").alias("n_objects"), F.count_if(P.visible()).alias("n_visible"), F.sum("n_visible").alias("corners"), r6(F.avg("occluded"), "occluded"))
 
 
-@query(f"WITH {SEEN} SELECT view_id, label, COUNT(*) AS n FROM seen WHERE n_corners >= 4 GROUP BY 1, 2")
+@query(f"WITH {VIS} SELECT view_id, label, COUNT(*) AS n FROM vis WHERE n_visible >= 4 AND occluded <= 0.4 GROUP BY 1, 2")
 def visible_label_counts(spark, sf_dir):
-    return V.visible_labels(seen(spark, sf_dir))
+    return V.visible_labels(O.valid_objects(visibility(spark, sf_dir)).where(P.visible(min_corners=4, max_occ=0.4)))
 
 
 @query(f"WITH {SEEN} SELECT view_id, ROUND(MAX(ROUND(box_w * box_h, 6)), 1) AS area FROM seen WHERE n_corners >= 4 GROUP BY 1")
 def anchor_area(spark, sf_dir):
-    return V.anchor_object(seen(spark, sf_dir)).select("view_id", F.round("area", 1).alias("area"))
+    return V.anchor_object(seen(spark, sf_dir).where(V.in_frame())).select("view_id", F.round("area", 1).alias("area"))
+
+
+@query(f"""WITH {VIS}, l AS (SELECT label, UNNEST(['visible', 'distance_band', 'aspect_exposed', 'is_centered', 'scale_band', 'bearing_within', 'in_room', 'not_blocked_by']) AS predicate,
+  UNNEST([{OK}, distance BETWEEN 1.0 AND 3.0, n_corners >= 4 AND LEAST(box_w, box_h) >= 0.001 AND LEAST(box_w, box_h) / GREATEST(box_w, box_h) >= 0.3, angle <= 25, n_corners >= 2 AND box_w * box_h / 160000.0 BETWEEN 0.05 AND 0.7, bearing BETWEEN -30 AND 60, TRUE, occluded < 0.5]) AS ok FROM vis)
+SELECT label, predicate, COUNT(*) FILTER (ok) AS n FROM l GROUP BY 1, 2""")
+def predicates_by_name(spark, sf_dir):
+    specs = [("Visible", {}), ("distance_band", {"d_min": 1.0, "d_max": 3.0}), ("AspectExposed", {}), ("is_centered", {}), ("scale_band", {}), ("bearing_within", {"bearing_min_deg": -30.0, "bearing_max_deg": 60.0}), ("in_room", {}), ("not_blocked_by", {})]
+    names = ["visible", *(n for n, _ in specs[1:2]), "aspect_exposed", *(n for n, _ in specs[3:])]
+    return P.evaluate(visibility(spark, sf_dir), specs, names).groupBy("label", "predicate").agg(F.count_if("ok").alias("n"))
+
+
+@query(f"WITH {VIS} SELECT view_id, COUNT(*) AS n, ROUND(MIN(angle), 5) AS angle FROM vis WHERE distance BETWEEN 1.0 AND 3.0 AND angle <= 25 GROUP BY 1")
+def distance_band_centered(spark, sf_dir):
+    return seen(spark, sf_dir).where(P.distance_band(d_min=1.0, d_max=3.0) & P.centered()).groupBy("view_id").agg(F.count("*").alias("n"), F.round(F.min("angle"), 5).alias("angle"))
 
 
 @query(f"""WITH {SEEN} SELECT label, COUNT(*) FILTER (n_corners >= 2 AND box_w * box_h / 160000.0 BETWEEN 0.05 AND 0.70) AS in_scale,
-  COUNT(*) FILTER (n_corners >= 4 AND GREATEST(box_w, box_h) > 0 AND LEAST(box_w, box_h) / GREATEST(box_w, box_h) >= 0.3) AS exposed FROM seen GROUP BY label""")
+  COUNT(*) FILTER (n_corners >= 4 AND LEAST(box_w, box_h) >= 0.001 AND LEAST(box_w, box_h) / GREATEST(box_w, box_h) >= 0.3) AS exposed FROM seen GROUP BY label""")
 def scale_and_aspect(spark, sf_dir):
-    return seen(spark, sf_dir).groupBy("label").agg(F.count_if(V.scale_band()).alias("in_scale"), F.count_if(V.aspect_exposed()).alias("exposed"))
+    return seen(spark, sf_dir).groupBy("label").agg(F.count_if(P.scale_band()).alias("in_scale"), F.count_if(P.aspect_exposed()).alias("exposed"))
 
 
-BEARINGS = f"""{ROOMED}, vr AS (SELECT v.*, r.room_id FROM {{views}} v JOIN {{rooms}} r ON v.scene_id = r.scene_id AND px >= x0 AND px < x1 AND py >= y0 AND py < y1),
-b AS (SELECT vr.view_id, o.object_id, (min_x + max_x) / 2 - px AS dx, (min_y + max_y) / 2 - py AS dy, (min_z + max_z) / 2 - pz AS dz, fx, fy FROM vr JOIN roomed o ON vr.scene_id = o.scene_id AND vr.room_id = o.room_id),
-y AS (SELECT view_id, object_id, CASE WHEN ABS(dx) < 1e-9 AND ABS(dy) < 1e-9 THEN 0.0 ELSE DEGREES(ATAN2(fx * dy - fy * dx, fx * dx + fy * dy)) END AS yaw, SQRT(dx * dx + dy * dy + dz * dz) AS distance FROM b)"""
+PAIR = "a.scene_id = b.scene_id AND a.view_id = b.view_id AND a.object_id < b.object_id"
 
 
-@query(f"""WITH {BEARINGS} SELECT view_id, CASE WHEN ABS(yaw) <= 30 THEN 'ahead' WHEN ABS(yaw) >= 150 THEN 'behind' WHEN yaw > 0 THEN 'left' ELSE 'right' END AS bearing, COUNT(*) AS n, ROUND(MIN(distance), 6) AS nearest FROM y GROUP BY 1, 2""")
-def bearings(spark, sf_dir):
-    return seen(spark, sf_dir).groupBy("view_id", G.bearing_label(F.col("bearing")).alias("bearing_")).agg(F.count("*").alias("n"), r6(F.min("distance"), "nearest")).withColumnRenamed("bearing_", "bearing")
+def view_pairs_of(rows):
+    keep = ("scene_id", "view_id", "room_id")
+    columns = [*keep, "object_id", "label", "n_visible", "occluded", "mean_u", "mean_v", *(f"{n}_{a}" for a in G.AXES for n in ("min", "max"))]
+    narrow = rows.select(*columns)
+    return O.prefixed(narrow, "a_", keep).join(O.prefixed(narrow, "b_", keep), list(keep)).where("a_object_id < b_object_id")
 
 
-@query(f"WITH {BEARINGS} SELECT view_id, COUNT(*) AS n FROM y WHERE distance BETWEEN 1.0 AND 3.0 AND ABS(yaw) <= 25 GROUP BY 1")
-def distance_band_centered(spark, sf_dir):
-    return seen(spark, sf_dir).where(V.distance_band(1.0, 3.0) & V.bearing_within(25)).groupBy("view_id").agg(F.count("*").alias("n"))
+@query(f"""WITH {VIS} SELECT view_id, COUNT(*) FILTER (a.n_visible >= 3 AND a.occluded <= 0.4 AND b.n_visible >= 3 AND b.occluded <= 0.4) AS pair_visible,
+  COUNT(*) FILTER (COALESCE(SQRT(POW(a.mean_u - b.mean_u, 2) + POW(a.mean_v - b.mean_v, 2)) >= 40, FALSE)) AS separated FROM vis a JOIN vis b USING (view_id) WHERE a.object_id < b.object_id GROUP BY 1""")
+def pair_predicates(spark, sf_dir):
+    return view_pairs_of(visibility(spark, sf_dir)).groupBy("view_id").agg(F.count_if(P.pair_visible()).alias("pair_visible"), F.count_if(P.separation_on_image()).alias("separated"))
+
+
+@query(f"""WITH {VIS}, n AS (SELECT *, UNNEST(['front', 'back', 'left', 'right', 'top']) AS side, UNNEST([0, 0, -1, 1, 0]) AS nx, UNNEST([1, -1, 0, 0, 0]) AS ny, UNNEST([0, 0, 0, 0, 1]) AS nz FROM vis)
+SELECT side, COUNT(*) FILTER (DEGREES(ACOS(GREATEST(-1, LEAST(1, ((px - cx) * nx + (py - cy) * ny + (pz - cz) * nz) / distance)))) BETWEEN 30 AND 80) AS side_view,
+COUNT(*) FILTER (LEAST(DEGREES(ACOS(gx * nx + gy * ny + gz * nz)), 180 - DEGREES(ACOS(gx * nx + gy * ny + gz * nz))) <= 40) AS orthogonal FROM n GROUP BY side""")
+def face_predicates(spark, sf_dir):
+    rows = seen(spark, sf_dir).withColumn("side", F.explode(F.array(*map(F.lit, ("front", "back", "left", "right", "top")))))
+    normal = P.face_normal(F.col("side"))
+    return rows.groupBy("side").agg(F.count_if(P.side_view(*normal)).alias("side_view"), F.count_if(P.orthogonal_to_plane(*normal, max_offset_deg=40.0)).alias("orthogonal"))
+
+
+@query("""WITH t AS (SELECT v.view_id, p.portal_id, (tx - px) / SQRT(POW(tx - px, 2) + POW(ty - py, 2) + POW(tz - pz, 2)) AS c FROM {views} v JOIN {portals} p USING (scene_id))
+SELECT view_id, COUNT(*) FILTER (LEAST(DEGREES(ACOS(c)), 180 - DEGREES(ACOS(c))) <= 40) AS facing FROM t GROUP BY 1""")
+def portal_planes(spark, sf_dir):
+    views, portals = scene(spark, sf_dir, "views", "portals")
+    rows = V.with_camera(views).join(portals.select("scene_id", "nx", "ny"), "scene_id")
+    return rows.groupBy("view_id").agg(F.count_if(P.orthogonal_to_plane(F.col("nx"), F.col("ny"), F.lit(0.0), theta_max_deg=40.0)).alias("facing"))
+
+
+FIRST = f"""{SEEN}, {BLOCKERS}, ray AS (SELECT s.view_id, s.object_id, s.x, s.y, s.z, b.object_id AS blocker_id, {slabs()} FROM cor s JOIN bl b ON s.scene_id = b.scene_id AND s.object_id <> b.object_id WHERE s.m = 0),
+met AS (SELECT view_id, object_id, x, y, z, ARG_MIN(blocker_id, (enter_ * way, blocker_id)) AS blocker_id FROM ray WHERE enter_ <= leave_ AND leave_ >= 0 AND enter_ * way > 0.001 AND enter_ * way < way - 0.001 GROUP BY 1, 2, 3, 4, 5),
+cnt AS (SELECT view_id, object_id, blocker_id, COUNT(*) AS n FROM met GROUP BY 1, 2, 3), prim AS (SELECT view_id, object_id, ARG_MAX(blocker_id, (n, -blocker_id)) AS blocker_id, MAX(n) AS n FROM cnt GROUP BY 1, 2)"""
+
+
+@query(f"WITH {FIRST} SELECT blocker_id, COUNT(*) AS n, CAST(SUM(n) AS BIGINT) AS corners FROM prim GROUP BY 1")
+def primary_occluders(spark, sf_dir):
+    objects, walls = scene(spark, sf_dir, "objects", "walls")
+    return occlusion.primary_occluder(seen(spark, sf_dir), O.blockers_of(objects, walls)).groupBy("blocker_id").agg(F.count("*").alias("hits"), F.sum("n").alias("corners")).withColumnRenamed("hits", "n")
+
 
+@query(f"""WITH {SEEN}, pts AS (SELECT scene_id, view_id, object_id, px, py, pz, x, y, z FROM cor WHERE m = 0 UNION ALL SELECT scene_id, view_id, object_id, px, py, pz, (min_x + max_x) / 2, (min_y + max_y) / 2, (min_z + max_z) / 2 FROM vo),
+ray AS (SELECT s.view_id, s.object_id, {slabs()} FROM pts s JOIN {{objects}} b ON s.scene_id = b.scene_id AND s.object_id <> b.object_id)
+SELECT object_id, COUNT(DISTINCT view_id) AS n FROM ray WHERE enter_ <= leave_ AND leave_ >= 0 AND enter_ >= 0 AND enter_ * way <= way - 0.001 GROUP BY 1""")
+def strictly_occluded(spark, sf_dir):
+    (objects,) = scene(spark, sf_dir, "objects")
+    return occlusion.box_occluded(seen(spark, sf_dir), objects).groupBy("object_id").agg(F.count("*").alias("n"))
 
-@query(f"WITH {BEARINGS} SELECT view_id, ROUND(MAX(ABS(yaw)), 6) AS bearing FROM y WHERE ABS(yaw) >= 60 GROUP BY 1")
+
+GAP = "SQRT(POW(GREATEST(0.0, min_x - px, px - max_x), 2) + POW(GREATEST(0.0, min_y - py, py - max_y), 2) + POW(GREATEST(0.0, min_z - pz, pz - max_z), 2))"
+
+
+@query(f"WITH {VIS}, d AS (SELECT view_id, object_id, ROUND({GAP}, 9) AS d FROM vis WHERE {OK}) SELECT view_id, ARG_MIN(object_id, (d, object_id)) AS object_id, ROUND(MIN(d), 6) AS d FROM d GROUP BY 1")
+def nearest_visible(spark, sf_dir):
+    d = F.round(G.point_box_distance(F.col("px"), F.col("py"), F.col("pz")), 9)
+    best = visibility(spark, sf_dir).where(P.visible()).groupBy("view_id").agg(F.min(F.struct(d.alias("d"), "object_id")).alias("m"))
+    return best.select("view_id", "m.object_id", r6(F.col("m.d"), "d"))
+
+
+@query(f"""WITH {VIS}, u AS (SELECT *, COUNT(*) OVER (PARTITION BY view_id, label) AS same FROM vis WHERE {OK}), k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY view_id ORDER BY object_id) AS k FROM u WHERE same = 1)
+SELECT view_id, ARG_MIN(object_id, (ROUND(distance, 9), object_id)) AS object_id FROM k WHERE k <= 3 GROUP BY 1""")
+def nearest_center(spark, sf_dir):
+    view = Window.partitionBy("view_id")
+    unique = visibility(spark, sf_dir).where(P.visible()).withColumn("same", F.count("*").over(Window.partitionBy("view_id", "label"))).where("same = 1")
+    first = unique.withColumn("k", F.row_number().over(view.orderBy("object_id"))).where("k <= 3")
+    return first.groupBy("view_id").agg(F.min(F.struct(F.round("distance", 9), "object_id")).getField("object_id").alias("object_id"))
+
+
+@query(f"""WITH {VIS}, q AS (SELECT * FROM vis WHERE {OK}), d AS (SELECT a.view_id, a.object_id AS a_id, b.object_id AS b_id, ROUND(SQRT(POW(a.cx - b.cx, 2) + POW(a.cy - b.cy, 2) + POW(a.cz - b.cz, 2)), 9) AS d FROM q a JOIN q b USING (view_id) WHERE a.object_id < b.object_id)
+SELECT view_id, ARG_MAX(a_id, (d, -a_id, -b_id)) AS a_id, ARG_MAX(b_id, (d, -a_id, -b_id)) AS b_id, ROUND(MAX(d), 6) AS d FROM d GROUP BY 1""")
+def farthest_visible_pair(spark, sf_dir):
+    pairs = view_pairs_of(visibility(spark, sf_dir).where(P.visible()))
+    best = F.max(F.struct(F.round(G.center_distance("a_", "b_"), 9).alias("d"), (-F.col("a_object_id")).alias("a"), (-F.col("b_object_id")).alias("b"))).alias("m")
+    return pairs.groupBy("view_id").agg(best).select("view_id", (-F.col("m.a")).alias("a_id"), (-F.col("m.b")).alias("b_id"), r6(F.col("m.d"), "d"))
+
+
+@query(f"WITH {VIS} SELECT view_id, ARG_MAX(object_id, (ROUND(GREATEST(max_x - min_x, max_y - min_y, max_z - min_z), 9), -object_id)) AS object_id FROM vis WHERE {OK} GROUP BY 1")
+def largest_visible(spark, sf_dir):
+    best = F.max(F.struct(F.round(G.longest(), 9).alias("d"), (-F.col("object_id")).alias("id"))).getField("id")
+    return visibility(spark, sf_dir).where(P.visible()).groupBy("view_id").agg((-best).alias("object_id"))
+
+
+@query(f"WITH {VIS} SELECT view_id, ARG_MAX(object_id, (ROUND(ABS(bearing), 9), -object_id)) AS object_id, ROUND(MAX(ABS(bearing)), 6) AS bearing FROM vis WHERE NOT {OK} AND ABS(bearing) >= 60 GROUP BY 1")
 def hidden_by_bearing(spark, sf_dir):
-    return seen(spark, sf_dir).where(F.abs("bearing") >= 60).groupBy("view_id").agg(r6(F.max(F.abs("bearing")), "bearing"))
+    hidden = visibility(spark, sf_dir).where(~P.visible() & (F.abs("bearing") >= 60))
+    best = F.max(F.struct(F.round(F.abs("bearing"), 9).alias("b"), (-F.col("object_id")).alias("id"))).alias("m")
+    return hidden.groupBy("view_id").agg(best).select("view_id", (-F.col("m.id")).alias("object_id"), r6(F.col("m.b"), "bearing"))
+
+
+NEXT = "vn AS (SELECT scene_id, room_id, view_id, LEAD(view_id) OVER (PARTITION BY scene_id, room_id ORDER BY view_id) AS after_id FROM vr)"
+
+
+@query(f"""WITH {VIS}, {NEXT}, q AS (SELECT view_id, object_id, occluded FROM vis WHERE {OK}), n AS (SELECT vn.view_id AS pair_id, q.object_id, q.occluded FROM vn JOIN q ON q.view_id = vn.after_id WHERE NOT EXISTS (SELECT 1 FROM q p WHERE p.view_id = vn.view_id AND p.object_id = q.object_id))
+SELECT pair_id, ARG_MIN(object_id, (occluded, object_id)) AS object_id FROM n GROUP BY 1""")
+def newly_visible(spark, sf_dir):
+    vis = visibility(spark, sf_dir).where(P.visible()).select("scene_id", "view_id", "object_id", "occluded")
+    w = Window.partitionBy("scene_id", "room_id").orderBy("view_id")
+    steps = placed(spark, sf_dir).select("scene_id", F.col("view_id").alias("pair_id"), F.lead("view_id").over(w).alias("after_id"))
+    before = vis.withColumnRenamed("view_id", "pair_id")
+    after = vis.withColumnRenamed("view_id", "after_id").join(steps, ["scene_id", "after_id"])
+    return occlusion.newly_visible(before, after).select("pair_id", "object_id")
+
+
+@query(f"""WITH {VIS}, s AS (SELECT view_id, object_id, label, ROUND((cx - px) * rx + (cy - py) * ry, 9) AS r FROM vis WHERE {OK}),
+k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY view_id, label ORDER BY r, object_id) AS n, COUNT(*) OVER (PARTITION BY view_id, label) AS m FROM s)
+SELECT view_id, object_id, CASE WHEN m = 1 THEN 'the ' || label ELSE 'the ' || n || CASE WHEN n % 100 BETWEEN 11 AND 13 THEN 'th' WHEN n % 10 = 1 THEN 'st' WHEN n % 10 = 2 THEN 'nd' WHEN n % 10 = 3 THEN 'rd' ELSE 'th' END || ' ' || label || ' from left to right' END AS shown FROM k""")
+def display_labels(spark, sf_dir):
+    right = (G.center("x") - F.col("px")) * F.col("cam_rx") + (G.center("y") - F.col("py")) * F.col("cam_ry")
+    same = Window.partitionBy("view_id", "label")
+    s = visibility(spark, sf_dir).where(P.visible()).withColumn("r", F.round(right, 9)).withColumns({"k": F.row_number().over(same.orderBy("r", "object_id")), "m": F.count("*").over(same)})
+    shown = F.when(F.col("m") == 1, F.concat(F.lit("the "), "label")).otherwise(F.concat(F.lit("the "), X.ordinal(F.col("k")), F.lit(" "), "label", F.lit(" from left to right")))
+    return s.select("view_id", "object_id", shown.alias("shown"))
+
+
+@query(f"""WITH {VIS}, s AS (SELECT object_id, view_id, px, py, pz FROM vis WHERE {OK}), k AS (SELECT *, LEAD(view_id) OVER w AS b_id, LEAD(px) OVER w AS qx, LEAD(py) OVER w AS qy, LEAD(pz) OVER w AS qz FROM s WINDOW w AS (PARTITION BY object_id ORDER BY view_id))
+SELECT object_id, COUNT(*) AS n, ROUND(MAX(SQRT(POW(px - qx, 2) + POW(py - qy, 2) + POW(pz - qz, 2))), 6) AS farthest FROM k WHERE POW(px - qx, 2) + POW(py - qy, 2) + POW(pz - qz, 2) >= 0.0025 GROUP BY 1""")
+def view_pairs(spark, sf_dir):
+    """Start and end views that see the same object: each view with the next one, so that a hot object's pairs stay as many as its views."""
+    w = Window.partitionBy("scene_id", "object_id").orderBy("view_id")
+    s = visibility(spark, sf_dir).where(P.visible()).select("scene_id", "object_id", "view_id", "px", "py", "pz").withColumns({f"q{a}": F.lead(f"p{a}").over(w) for a in "xyz"})
+    d = sum(((F.col(f"p{a}") - F.col(f"q{a}")) * (F.col(f"p{a}") - F.col(f"q{a}")) for a in "xyz"), F.lit(0.0))
+    return s.withColumn("d", d).where("d >= 0.0025").groupBy("object_id").agg(F.count("*").alias("n"), r6(F.sqrt(F.max("d")), "farthest"))
+
+
+@query(f"""WITH {VIS} SELECT view_id, CASE WHEN ABS(bearing) <= 30 THEN 'ahead' WHEN ABS(bearing) >= 150 THEN 'behind' WHEN bearing > 0 THEN 'left' ELSE 'right' END AS bearing, COUNT(*) AS n, ROUND(MIN(distance), 6) AS nearest FROM vis GROUP BY 1, 2""")
+def bearings(spark, sf_dir):
+    return seen(spark, sf_dir).groupBy("view_id", G.bearing_label(F.col("bearing")).alias("bearing_")).agg(F.count("*").alias("n"), r6(F.min("distance"), "nearest")).withColumnRenamed("bearing_", "bearing")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atrium.operators.objects import STRUCTURAL
+from atrium.functions.labels import STRUCTURAL
 
 POINT = "struct<x:double,y:double,z:double>"
 LABELS = f"ins_id string, label string, bounding_box array<{POINT}>, front_normal array<double>, label_side string, label_face_text string"
