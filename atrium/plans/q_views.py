@@ -115,9 +115,9 @@ def view_pairs_of(rows):
 
 
 @query(f"""WITH {VIS} SELECT view_id, COUNT(*) FILTER (a.n_visible >= 3 AND a.occluded <= 0.4 AND b.n_visible >= 3 AND b.occluded <= 0.4) AS pair_visible,
-  COUNT(*) FILTER (COALESCE(SQRT(POW(a.mean_u - b.mean_u, 2) + POW(a.mean_v - b.mean_v, 2)) >= 40, FALSE)) AS separated FROM vis a JOIN vis b USING (view_id) WHERE a.object_id < b.object_id GROUP BY 1""")
+  COUNT(*) FILTER (COALESCE(SQRT(POW(a.mean_u - b.mean_u, 2) + POW(a.mean_v - b.mean_v, 2)) >= 41.3, FALSE)) AS separated FROM vis a JOIN vis b USING (view_id) WHERE a.object_id < b.object_id GROUP BY 1""")
 def pair_predicates(spark, sf_dir):
-    return view_pairs_of(visibility(spark, sf_dir)).groupBy("view_id").agg(F.count_if(P.pair_visible()).alias("pair_visible"), F.count_if(P.separation_on_image()).alias("separated"))
+    return view_pairs_of(visibility(spark, sf_dir)).groupBy("view_id").agg(F.count_if(P.pair_visible()).alias("pair_visible"), F.count_if(P.separation_on_image(min_separation_px=41.3)).alias("separated"))
 
 
 @query(f"""WITH {VIS}, n AS (SELECT *, UNNEST(['front', 'back', 'left', 'right', 'top']) AS side, UNNEST([0, 0, -1, 1, 0]) AS nx, UNNEST([1, -1, 0, 0, 0]) AS ny, UNNEST([0, 0, 0, 0, 1]) AS nz FROM vis)
