@@ -13,11 +13,11 @@ VIEWS = {
         CAST(1.0 AS DOUBLE) AS nx, CAST(0.0 AS DOUBLE) AS ny, (50 + (a.room_id * 17) % 60) / CAST(100 AS DOUBLE) AS width, 'DOOR' AS type
         FROM {rooms} a JOIN {rooms} b ON a.scene_id = b.scene_id AND (b.room_id = a.room_id + 1 OR (a.scene_id % 3 = 0 AND a.room_id % 5 = 0 AND b.room_id = a.room_id + 3))""",
     "centers": """SELECT CAST(FLOOR(p_partkey / 80.0) AS INT) AS scene_id, CAST(p_partkey AS BIGINT) AS object_id,
-        CASE CAST((p_partkey * 13 + FLOOR(p_partkey / 16.0) * 5 + FLOOR(p_partkey / 3.0)) AS BIGINT) % 21
+        CASE WHEN FLOOR(p_partkey / 16.0) % 4 = 1 AND p_partkey % 16 < 7 THEN 'chair' ELSE CASE CAST((p_partkey * 13 + FLOOR(p_partkey / 16.0) * 5 + FLOOR(p_partkey / 3.0)) AS BIGINT) % 21
              WHEN 0 THEN 'chair' WHEN 1 THEN 'armchair' WHEN 2 THEN 'stool' WHEN 3 THEN 'sofa' WHEN 4 THEN 'table' WHEN 5 THEN 'coffee table'
              WHEN 6 THEN 'desk' WHEN 7 THEN 'bed' WHEN 8 THEN 'wardrobe' WHEN 9 THEN 'cabinet' WHEN 10 THEN 'bookshelf' WHEN 11 THEN 'lamp'
              WHEN 12 THEN 'table lamp' WHEN 13 THEN 'plant' WHEN 14 THEN 'vase' WHEN 15 THEN 'book' WHEN 16 THEN 'cup' WHEN 17 THEN 'tv'
-             WHEN 18 THEN 'toilet' WHEN 19 THEN 'basin' ELSE 'box' END AS label,
+             WHEN 18 THEN 'toilet' WHEN 19 THEN 'basin' ELSE 'box' END END AS label,
         6 * (FLOOR(p_partkey / 16.0) % 5) + CAST(0.75 AS DOUBLE) + ((p_partkey * 37) % 450) / CAST(100 AS DOUBLE) AS cx,
         CAST(0.75 AS DOUBLE) + ((p_partkey * 53) % 350) / CAST(100 AS DOUBLE) AS cy,
         CASE WHEN p_partkey % 3 = 0 THEN CAST(0.5 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS z0,
