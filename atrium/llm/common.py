@@ -108,7 +108,7 @@ class WordIds(dict):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
@@ -120,7 +120,10 @@ class WordIds(dict):
         simple = all(not re.search(r"\s", t["content"]) and not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]) for t in spec["added_tokens"])
         self.wordwise = simple and spec["post_processor"] is None and all(spec[k] == v for k, v in WORDWISE.items())
         self.special = re.compile("|".join(map(re.escape, added)) or "(?!)")
-        self.model, self.bytewise = self.tokenizer.model, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.model = self.tokenizer.model
+        # The byte-level alphabet: printable Latin-1 stands for itself, the other bytes for what follows U+00FF.
+        printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+        self.alphabet = dict(zip((b for b in range(256) if b not in printable), range(256, 512)))
         kinds: dict[str, list[str]] = {"L": [], "N": [], "": []}
         for c in map(chr, range(0x21, PLAIN_LIMIT)):
             kind = unicodedata.category(c)[0]
@@ -129,7 +132,7 @@ class WordIds(dict):
                 kinds[kind if kind in "LN" else ""].append(re.escape(c))
         letters, digits, signs = ("".join(kinds[k]) for k in ("L", "N", ""))
         self.plain = re.compile(f"[{letters}{digits}{signs}]+").fullmatch
-        self.cut = re.compile(f"{CONTRACTIONS}|[{letters}]+|[{digits}]|[{signs}]+").findall
+        self.cut = re.compile(f"[{letters}]+|[{digits}]|{CONTRACTIONS}|[{signs}]+").findall
 
     def _direct(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -140,7 +143,7 @@ class WordIds(dict):
         if ids is None:
             ids = self.old_tokens.get(word)
             if ids is None:
-                mapped = word if word.isascii() else self.bytewise.pre_tokenize_str(word)[0][0]
+                mapped = word if word.isascii() else word.encode().decode("latin-1").translate(self.alphabet)
                 ids = array(self.dtype.char, [t.id for t in self.model.tokenize(mapped)]).tobytes()
             if len(word) <= LONG_WORD:
                 if len(self.tokens) >= self.keep:
@@ -151,7 +154,12 @@ class WordIds(dict):
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
-            if not piece:
+            # Most pieces are a word of ASCII letters, some with a full stop or comma behind it.
+            if piece.isascii() and piece.isalpha():
+                ids = self._token(piece.lower())
+            elif piece.isascii() and piece[-1:] in (",", ".") and piece[:-1].isalpha():
+                ids = self._token(piece[:-1].lower()) + self._token(piece[-1])
+            elif not piece:
                 ids = b""
             elif self.plain(piece) and not self.special.search(piece):
                 ids = b"".join(map(self._token, self.cut(piece.lower())))
