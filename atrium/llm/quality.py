@@ -1,12 +1,12 @@
 """Quality rules: counted rules and a hashed n-gram likelihood ratio, in DataFrame functions alone.
 
 Every document's words and pairs of neighbouring words fall into `buckets` hash buckets. Two multinomials
-over the buckets are counted, one from the documents that a label trusts and one from the whole corpus,
-both smoothed by one per bucket. A document's score is the mean over its n-grams of
+over the buckets are counted, one from the documents that a label trusts and one from the whole corpus, the
+trusted one smoothed towards the corpus. A document's score is the mean over its n-grams of
 log(p_trusted / p_corpus); it is kept if it passes the counted rules and its score reaches the threshold.
 
-The pipeline judges by crossed ratios instead: no document is scored with trusted counts of its own text, and
-the threshold is fitted to the labelled documents' scores. So a score doesn't depend on being labelled.
+No document is scored with trusted counts of its own text, and the threshold is fitted to the scores of all
+labelled documents. So a score doesn't depend on being labelled, nor the threshold on one corpus.
 """
 
 from __future__ import annotations
@@ -16,13 +16,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from atrium.llm.common import SPACES, broadcast_if_small, materialize, text_or_empty
+from atrium.llm.common import SPACES, broadcast_if_small, fresh, materialize, text_or_empty
 
 BUCKETS = 1 << 16
-#: Mean log ratio that a document must reach.
-THRESHOLD = -0.12
-#: Trusted ids are broadcast up to this count, and joined by a shuffle beyond it.
-BROADCAST_IDS = 1_000_000
 #: Mixes the hashes of two neighbouring words.
 PAIR_FACTOR = 31
 SYMBOLS = "[#*$%&|<>]"
@@ -87,25 +83,6 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def log_ratios(documents: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """(bucket, ratio) for every bucket: log of the smoothed trusted over the smoothed corpus probability.
-
-    trusted has the doc_ids of trusted documents, each once; all documents and all trusted ids count. At
-    most `buckets` rows come out, whatever the input.
-    """
-    marked = trusted.select(F.col("doc_id").alias("trusted_id"))
-    if marked.count() <= BROADCAST_IDS:
-        marked = F.broadcast(marked)
-    texts = documents.select("doc_id", "text").join(marked, F.col("doc_id") == F.col("trusted_id"), "left")
-    words = texts.select(F.col("trusted_id").isNotNull().cast("long").alias("good"), words_of(text_or_empty()).alias("words"))
-    grams = with_buckets(words, buckets).select("good", F.explode("grams").alias("bucket"))
-    counted = materialize(grams.groupBy("bucket").agg(F.sum("good").alias("good"), F.count("*").alias("every")), "ngram-counts")
-    good, every = counted.agg(F.coalesce(F.sum("good"), F.lit(0)), F.coalesce(F.sum("every"), F.lit(0))).first()
-    filled = documents.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(F.broadcast(counted), "bucket", "left")
-    smoothed = lambda c, total: (F.coalesce(F.col(c), F.lit(0)) + 1.0) / float(total + buckets)
-    return filled.select("bucket", (F.log(smoothed("good", good)) - F.log(smoothed("every", every))).alias("ratio"))
-
-
 def crossed_ratios(documents: DataFrame, trusted: DataFrame, folds: int = FOLDS, buckets: int = BUCKETS) -> DataFrame:
     """(bucket, ratios) for every bucket: per fold, the log of how much more often its grams are trusted than all grams are.
 
@@ -115,7 +92,7 @@ def crossed_ratios(documents: DataFrame, trusted: DataFrame, folds: int = FOLDS,
     """
     marked = broadcast_if_small(trusted.select(F.col("doc_id").alias("trusted_id")))
     texts = documents.select("doc_id", "text").join(marked, F.col("doc_id") == F.col("trusted_id"), "left")
-    rows = texts.select(F.when(F.col("trusted_id").isNotNull(), fold_of(F.xxhash64("text"), folds)).alias("fold"), words_of(text_or_empty()).alias("words"))
+    rows = texts.select(F.when(F.col("trusted_id").isNotNull(), fold_of(text_or_empty(), folds)).alias("fold"), words_of(text_or_empty()).alias("words"))
     grams = with_buckets(rows, buckets).select("fold", F.explode("grams").alias("bucket"))
     parts = [F.count_if(F.col("fold") == f).alias(f"good{f}") for f in range(folds)]
     counted = materialize(grams.groupBy("bucket").agg(F.count("*").alias("every"), *parts), "ngram-counts")
@@ -130,8 +107,9 @@ def crossed_ratios(documents: DataFrame, trusted: DataFrame, folds: int = FOLDS,
     return filled.select("bucket", F.array(*map(ratio, range(folds))).alias("ratios"))
 
 
-def fold_of(key: Column, folds: int = FOLDS) -> Column:
-    return F.pmod(key, F.lit(folds)).cast("int")
+def fold_of(text: Column, folds: int = FOLDS) -> Column:
+    """The part that a text belongs to, by two hex digits of its md5; equal texts are in one part."""
+    return (F.conv(F.substring(F.md5(text.cast("binary")), 1, 2), 16, 10).cast("int") % folds).cast("int")
 
 
 def fit_threshold(scored: DataFrame, verdicts: DataFrame) -> float:
@@ -173,12 +151,19 @@ def scores(documents: DataFrame, ratios: DataFrame, ratio: Column, buckets: int
     return looked.groupBy("row_", *kept_columns).agg(F.coalesce(F.avg(ratio), F.lit(0.0)).alias("score")).drop("row_")
 
 
-def judge(documents: DataFrame, ratios: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def judge(documents: DataFrame, verdicts: DataFrame, folds: int = FOLDS, buckets: int = BUCKETS, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Each document's counted features, base_failed, score and kept, with the columns in `carry`.
 
-    Null texts count as empty; a document without words fails the rules and has score 0. Repeated rows
-    are judged each by itself; columns beside doc_id, text and `carry` are ignored. Any text is judged
-    whole, and an empty table gives an empty result. `ratios` has one row per bucket and is broadcast.
+    verdicts has (doc_id, quality), each doc_id once: 1 trusts a document, any other number calls it junk, null
+    says nothing. Null texts count as empty; a document without words fails the rules and has score 0. Repeated
+    rows are judged each by itself; columns beside doc_id, text and `carry` are ignored. Any text is judged
+    whole, and an empty table gives an empty result. The ratios, one row per bucket, are broadcast.
     """
-    scored = scores(documents, ratios, F.col("ratio"), buckets, carry)
-    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+    ratios = crossed_ratios(documents, verdicts.where("quality = 1").select("doc_id"), folds, buckets)
+    rows = documents.select(*dict.fromkeys(("doc_id", "text", *carry)))
+    fold = fresh(rows, "fold")
+    keyed = rows.withColumn(fold, fold_of(text_or_empty(), folds))
+    columns = tuple(dict.fromkeys(("doc_id", *carry, fold)))
+    scored = materialize(scores(keyed, ratios, F.get("ratios", F.col(fold)), buckets, columns), "scores")
+    kept = ~F.col("base_failed") & (F.col("score") >= fit_threshold(scored, verdicts))
+    return scored.withColumn("kept", kept).select(*carry, *FEATURES, "base_failed", "score", "kept")

@@ -113,30 +113,63 @@ def brute_quality(text):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(covered)
 
 
+def brute_threshold(known):
+    """Scores and labels of documents that pass the rules; the cut with the least sum of both error shares."""
+    steps = sorted({math.floor(x / quality.SCORE_STEP) for x, _ in known})
+    good = [math.floor(x / quality.SCORE_STEP) for x, q in known if q == 1]
+    junk = [math.floor(x / quality.SCORE_STEP) for x, q in known if q != 1]
+    errors = {s: sum(x < s for x in good) * len(junk) + sum(x >= s for x in junk) * len(good) for s in steps}
+    last = max(s for s in steps if errors[s] == min(errors.values()))
+    before = max((s + 1 for s in steps if s < last), default=last)
+    return (before + last) / 2 * quality.SCORE_STEP
+
+
 def test_quality_counts_and_ratios_equal_brute_force(spark):
-    texts = [*(t for t in ODD if t is None or len(t) < 2000), "a b c d a b c x y\na b\na b\n#|<>", " ".join(f"good{i % 70}" for i in range(200)), " ".join(f"bad{i}## " for i in range(120))]
-    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, words string")
-    trusted = spark.createDataFrame([(len(texts) - 2,)], "doc_id long")
-    ratios = quality.log_ratios(docs, trusted, 512)
-    got = {r.doc_id: r for r in quality.judge(docs, ratios, buckets=512).collect()}
-    good, every = np.ones(512), np.ones(512)
+    rng = np.random.default_rng(3)
+    clean = [" ".join(f"good{i}" for i in rng.integers(0, 300, 90)) for _ in range(24)]
+    junk = [" ".join(f"bad{i}##" for i in rng.integers(0, 300, 90)) for _ in range(24)]
+    texts = [*ODD, "a b c d a b c x y\na b\na b\n#|<>", *clean, *junk, " ".join(f"good{i % 70}" for i in range(5000)), clean[0]]
+    first = len(ODD) + 1
+    labels = {first + i: 1 for i in range(12)} | {first + 24 + i: 0 for i in range(12)} | {first + 23: None, 0: 1}
+    docs = spark.createDataFrame([*((i, t, "x", 1) for i, t in enumerate(texts)), (None, clean[1], "x", 1)], "doc_id long, text string, words string, fold int")
+    verdicts = spark.createDataFrame(list(labels.items()), "doc_id long, quality int")
+    rows = quality.judge(docs, verdicts, buckets=512).collect()
+    assert len(rows) == len(texts) + 1
+    got = {r.doc_id: r for r in rows if r.doc_id is not None}
+    good, every = np.zeros((quality.FOLDS, 512)), np.zeros(512)
 
     def grams(text):
         crc = [zlib.crc32(w.encode()) for w in words(text)]
         return [c % 512 for c in crc] + [(31 * a + b) % 512 for a, b in zip(crc, crc[1:])]
 
+    folds = [hashlib.md5((t or "").encode()).digest()[0] % quality.FOLDS for t in texts]
+    np.add.at(every, grams(clean[1]), 1)
     for i, t in enumerate(texts):
         np.add.at(every, grams(t), 1)
-        if i == len(texts) - 2:
-            np.add.at(good, grams(t), 1)
-    table = np.log(good / good.sum()) - np.log(every / every.sum())
+        if labels.get(i) == 1:
+            np.add.at(good[folds[i]], grams(t), 1)
+    scores, failed = {}, {}
     for i, t in enumerate(texts):
-        r, n = got[i], brute_quality(t)
-        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == n
-        failed = n[0] < 50 or 100 * n[4] > 50 * n[0]
-        score = 0.0 if failed else float(np.mean(table[grams(t)]))
-        assert r.base_failed == failed and abs(r.score - score) < 1e-9 and r.kept == (not failed and score >= quality.THRESHOLD)
-    assert quality.judge(empty_documents(spark), ratios, buckets=512).count() == 0
+        n = brute_quality(t) if len(t or "") < 2000 else None
+        r = got[i]
+        if n:
+            assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == n
+        failed[i] = r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words
+        others = good.sum(0) - good[folds[i]]
+        ratios = np.log((others + others.sum() / every.sum()) / (every + 1) / (others.sum() / every.sum()))
+        scores[i] = 0.0 if failed[i] else float(np.mean(ratios[grams(t)]))
+        assert r.base_failed == failed[i] and abs(r.score - scores[i]) < 1e-9
+    threshold = brute_threshold([(scores[i], q) for i, q in labels.items() if q is not None and not failed[i]])
+    assert all(r.kept == (not failed[i] and scores[i] >= threshold) for i, r in got.items())
+    assert all(got[first + i].kept == (i < 24) for i in range(48))
+
+
+def test_quality_without_labels_or_rows(spark):
+    docs = odd_documents(spark)
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert quality.judge(empty_documents(spark), none, buckets=512).count() == 0
+    rows = quality.judge(docs, none, buckets=512).collect()
+    assert len(rows) == docs.count() and all(r.kept == (not r.base_failed) and r.score == 0 for r in rows)
 
 
 def exclusive(n=2400):
