@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from atrium.llm import neardup, packing, q_toxicity, quality, toxicity
 from atrium.llm.common import broadcast_if_small, fresh, materialize, table
-from atrium.llm.q_quality import trusted_ids, verdicts
+from atrium.llm.q_quality import verdicts
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,14 +26,10 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the counted rules and the likelihood ratio; a verdict is a function of the text alone, and no text counts for itself."""
-    labels = table(spark, sf_dir, "labels")
-    ratios = quality.crossed_ratios(docs, trusted_ids(labels))
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
-    scored = quality.scores(keyed, ratios, F.get("ratios", quality.fold_of(F.col("text_key"))), carry=("doc_id", "text_key"))
-    judged = materialize(scored.select("doc_id", "text_key", "base_failed", "score"), "scores")
-    failed = F.col("base_failed") | (F.col("score") < quality.fit_threshold(judged, verdicts(labels)))
+    judged = quality.judge(keyed, verdicts(table(spark, sf_dir, "labels")), carry=("doc_id", "text_key"))
     id_, key_ = fresh(docs, "rejected_id"), fresh(docs, "rejected_key")
-    rejected = materialize(judged.where(failed).select(F.col("doc_id").alias(id_), F.col("text_key").alias(key_)).distinct(), "rejected")
+    rejected = materialize(judged.where("NOT kept").select(F.col("doc_id").alias(id_), F.col("text_key").alias(key_)).distinct(), "rejected")
     same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(key_))
     return docs.join(broadcast_if_small(rejected), same, "left_anti")
 
