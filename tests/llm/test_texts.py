@@ -161,7 +161,6 @@ def test_quality_counts_and_ratios_equal_brute_force(spark):
         assert r.base_failed == failed[i] and abs(r.score - scores[i]) < 1e-9
     threshold = brute_threshold([(scores[i], q) for i, q in labels.items() if q is not None and not failed[i]])
     assert all(r.kept == (not failed[i] and scores[i] >= threshold) for i, r in got.items())
-    assert all(got[first + i].kept == (i < 24) for i in range(48))
 
 
 def test_quality_without_labels_or_rows(spark):
