@@ -154,10 +154,41 @@ def axis_relation(dx: Column, dy: Column) -> Column:
 
 
 def camera_direction(right: Column, up: Column, forward: Column, threshold: float = 0.30) -> Column:
-    """Named direction in camera axes, vertical before front before side; "same" within the threshold."""
-    part = lambda v, plus, minus: F.when(v > threshold, plus).when(v < -threshold, minus)
-    joined = F.concat_ws("-", part(up, "up", "down"), part(forward, "front", "back"), part(right, "right", "left"))
-    return F.when(joined == "", "same").otherwise(joined)
+    """Named direction of a displacement in camera axes: vertical, then front or back, then side, each that makes up the
+    threshold's share of its length; the greatest alone if none does, "same" for no displacement."""
+    size = F.sqrt(right * right + up * up + forward * forward)
+    names = [(up, "above", "below"), (forward, "front", "back"), (right, "right", "left")]
+    part = lambda v, plus, minus: F.when(v > 0, plus).otherwise(minus)
+    joined = F.concat_ws("-", *(F.when(F.abs(v) / size >= threshold, part(v, p, m)) for v, p, m in names))
+    most = F.greatest(*(F.abs(v) for v, _, _ in names))
+    alone = F.when(F.abs(forward) == most, part(*names[1])).when(F.abs(right) == most, part(*names[2])).otherwise(part(*names[0]))
+    return F.when(size < 1e-6, "same").when(joined == "", alone).otherwise(joined)
+
+
+def yaw_between(fx: Column, fy: Column, gx: Column, gy: Column, limit: float = 100.0) -> Column:
+    """Level turn from one forward direction to another in degrees, positive to the left, within the limit; 0 for an upright one."""
+    upright = (F.sqrt(fx * fx + fy * fy) < 1e-6) | (F.sqrt(gx * gx + gy * gy) < 1e-6)
+    return F.when(upright, F.lit(0.0)).otherwise(clamp(signed_yaw(fx, fy, gx, gy), -limit, limit))
+
+
+def relative_label(right: Column, up: Column, forward: Column, threshold: float = 0.05) -> Column:
+    """Where a second object is seen from a first one, from the difference of their camera coordinates: two axes at most,
+    side before depth before height; the image is mirrored, so that more to the right reads "left". Null if all are small."""
+    side = F.when(F.abs(right) > threshold, F.when(right > 0, "left").otherwise("right"))
+    depth = F.when(F.abs(forward) > threshold, F.when(forward < 0, "front").otherwise("back"))
+    height = F.when(F.abs(up) > threshold, F.when(up > 0, "above").otherwise("below"))
+    both = F.array_join(F.slice(F.filter(F.array(side, depth, height), lambda x: x.isNotNull()), 1, 2), "-")
+    return F.nullif(both, F.lit(""))
+
+
+def side_label(yaw: Column) -> Column:
+    """Left, Right, LeftBack or RightBack of a bearing in degrees, positive to the left; 0 is Right."""
+    return F.when(F.abs(yaw) > 90, F.when(yaw > 0, "LeftBack").otherwise("RightBack")).otherwise(F.when(yaw > 0, "Left").otherwise("Right"))
+
+
+def pose_key(px: Column, py: Column, pz: Column, yaw: Column, step: float = 0.25, turn: float = 15.0) -> Column:
+    """A pose rounded to steps (heights to 0.1 m at least), to tell equal ones."""
+    return F.struct(F.bround(px / step).alias("x"), F.bround(py / step).alias("y"), F.bround(pz / max(step, 0.1)).alias("z"), F.bround(yaw / turn).alias("yaw"))
 
 
 def point_in_polygon(px: Column, py: Column, poly: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from atrium.plans.scenes import ctes
 
 FLAGSHIP = "view_object_visibility"
-MODULES = ("q_objects", "q_pairs", "q_tasks", "q_views", "q_texts", "q_jobs", "q_templates", "q_choices")
+MODULES = ("q_objects", "q_pairs", "q_tasks", "q_views", "q_texts", "q_jobs", "q_templates", "q_choices", "q_generators", "q_validators")
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
