@@ -31,10 +31,15 @@ def rejected() -> Column:
     return F.lit(None).cast("double")
 
 
+def plane_angle(ax: Column, ay: Column, bx: Column, by: Column) -> Column:
+    """Degrees between two directions in the plane; null if either is shorter than 1e-6."""
+    sizes = F.least(F.sqrt(ax * ax + ay * ay), F.sqrt(bx * bx + by * by))
+    return F.when(sizes >= 1e-6, G.angle_between(ax, ay, F.lit(0.0), bx, by, F.lit(0.0)))
+
+
 def level_angle(x: Column, y: Column) -> Column:
     """Degrees in the plane from forward to a point, whichever side it is on; null if either has no direction."""
-    dx, dy = x - F.col("px"), y - F.col("py")
-    return G.angle_between(F.col("cam_fx"), F.col("cam_fy"), F.lit(0.0), dx, dy, F.lit(0.0))
+    return plane_angle(F.col("cam_fx"), F.col("cam_fy"), x - F.col("px"), y - F.col("py"))
 
 
 def seen_at(obj: str) -> Column:
@@ -155,7 +160,7 @@ def apparent_ratio_max(*_) -> Column:
 
 def off_axis(x: Column, y: Column) -> Column:
     """Degrees from forward to an axis in the plane, either way along it; null without one."""
-    a = G.angle_between(F.col("cam_fx"), F.col("cam_fy"), F.lit(0.0), x, y, F.lit(0.0))
+    a = plane_angle(F.col("cam_fx"), F.col("cam_fy"), x, y)
     return F.least(a, 180.0 - a)
 
 
@@ -177,7 +182,7 @@ def looks_along_pair(value: float, a: str = "a_", b: str = "b_") -> Column:
 def same_bearing(value: bool, a: str = "a_", b: str = "b_", most: float = 8.0) -> Column:
     """Both objects lie in about one direction, or for False don't."""
     ways = [G.center(x, o) - F.col(f"p{x}") for o in (a, b) for x in "xy"]
-    between = G.angle_between(ways[0], ways[1], F.lit(0.0), ways[2], ways[3], F.lit(0.0))
+    between = plane_angle(*ways)
     graded = 1.0 - 0.5 * between / most if value else F.least(F.lit(1.0), 0.4 + 0.6 * between / 90.0)
     return F.when(between.isNull(), 0.0).when((between <= most) != F.lit(value), rejected()).otherwise(graded)
 

@@ -33,7 +33,7 @@ def sees(p, corners, most):
 
 def level(x, y):
     size = f"(SQRT(POW(s.gx, 2) + POW(s.gy, 2)) * SQRT(POW({x}, 2) + POW({y}, 2)))"
-    return f"DEGREES(ACOS(GREATEST(-1.0, LEAST(1.0, (s.gx * ({x}) + s.gy * ({y})) / {size}))))"
+    return f"CASE WHEN SQRT(POW({x}, 2) + POW({y}, 2)) >= 1e-6 THEN DEGREES(ACOS(GREATEST(-1.0, LEAST(1.0, (s.gx * ({x}) + s.gy * ({y})) / {size})))) END"
 
 
 def facing(nx, ny):
@@ -46,7 +46,7 @@ def graded(x, most):
 
 FACED = f"CASE WHEN door > {HALF} THEN NULL WHEN door <= 15 THEN 1.0 WHEN door <= 35 THEN 0.7 ELSE 0.5 END"
 SCORES = {
-    "target_invisible_at_init": f"CASE WHEN {sees('s', 2, 0.95)} OR {sees('s', 4, 0.3)} THEN NULL WHEN NOT {sees('s', 1, 0.95)} THEN CASE WHEN target <= 50 THEN 0.8 ELSE 0.3 END WHEN target <= 20 THEN 1.0 WHEN target <= 35 THEN 0.7 WHEN target <= 50 THEN 0.4 ELSE 0.1 END",
+    "target_invisible_at_init": f"CASE WHEN {sees('s', 2, 0.95)} OR {sees('s', 4, 0.3)} THEN NULL WHEN target IS NULL THEN CASE WHEN {sees('s', 1, 0.95)} THEN 0.6 ELSE 0.4 END WHEN NOT {sees('s', 1, 0.95)} THEN CASE WHEN target <= 50 THEN 0.8 ELSE 0.3 END WHEN target <= 20 THEN 1.0 WHEN target <= 35 THEN 0.7 WHEN target <= 50 THEN 0.4 ELSE 0.1 END",
     "portal_invisible_at_init": FACED,
     "target_invisible_from_room_a": f"CASE WHEN s.room_id <> room_a OR {sees('s', 3, 0.4)} THEN NULL ELSE {FACED} END",
     "max_both_pairs_visible_at_init": f"CASE WHEN {sees('s', 4, 0.3)} AND {sees('b', 4, 0.3)} AND {sees('c', 4, 0.3)} THEN NULL WHEN {sees('s', 3, 0.5)} AND {sees('s', 4, 0.3)} AND ({sees('b', 4, 0.3)} OR {sees('c', 4, 0.3)}) THEN 1.0 WHEN {sees('s', 3, 0.5)} THEN 0.7 ELSE [0.1, 0.3, 0.4, 0.4][1 + (s.n_corners > 0)::INT + (b.n_corners > 0)::INT + (c.n_corners > 0)::INT] END",
@@ -57,12 +57,13 @@ SCORES = {
     "only_one_face_visible_at_init": "CASE WHEN ABS(COS(RADIANS(front))) >= 0.3 THEN ABS(COS(RADIANS(front))) END",
     "init_apparent_size_ratio_min": "CASE WHEN s.box_w * s.box_h > 1 AND b.box_w * b.box_h > 1 AND s.box_w * s.box_h / NULLIF(b.box_w * b.box_h, 0) BETWEEN 0.5 AND 2.5 THEN 1.0 - 0.5 * ABS(LN(s.box_w * s.box_h / NULLIF(b.box_w * b.box_h, 0)) - LN(1.25) / 2) / (LN(5.0) / 2) END",
     "min_projection_ambiguity_deg": graded("LEAST(east, 180 - east)", 40.0),
-    "init_ordering_ambiguous": f"CASE WHEN apart <= 8 THEN 1.0 - 0.5 * apart / 8 END",
-    "max_init_lateral_angle_deg": graded("LEAST(pair, 180 - pair)", 35.0),
+    "init_ordering_ambiguous": f"CASE WHEN apart IS NULL THEN 0.0 WHEN apart <= 8 THEN 1.0 - 0.5 * apart / 8 END",
+    "max_init_lateral_angle_deg": "CASE WHEN pair IS NULL THEN 0.0 WHEN LEAST(pair, 180 - pair) <= 35 THEN 1.0 - 0.5 * LEAST(pair, 180 - pair) / 35 END",
     "path_portals_not_all_visible_at_init": f"CASE WHEN door <= {HALF} THEN 0.2 WHEN door > 150 THEN 0.4 ELSE 1.0 END",
     "passage_not_orthogonally_visible_at_init": "CASE WHEN door <= 15 THEN 0.3 WHEN door <= 30 THEN 0.4 ELSE 1.0 END",
 }
-APART = "DEGREES(ACOS(GREATEST(-1.0, LEAST(1.0, ((s.cx - s.px) * (b.cx - s.px) + (s.cy - s.py) * (b.cy - s.py)) / (SQRT(POW(s.cx - s.px, 2) + POW(s.cy - s.py, 2)) * SQRT(POW(b.cx - s.px, 2) + POW(b.cy - s.py, 2)))))))"
+LONG = "SQRT(POW({0}.cx - s.px, 2) + POW({0}.cy - s.py, 2))"
+APART = f"CASE WHEN LEAST({LONG.format('s')}, {LONG.format('b')}) >= 1e-6 THEN DEGREES(ACOS(GREATEST(-1.0, LEAST(1.0, ((s.cx - s.px) * (b.cx - s.px) + (s.cy - s.py) * (b.cy - s.py)) / ({LONG.format('s')} * {LONG.format('b')}))))) END"
 
 
 @query(f"""WITH {VIS}, k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY scene_id, view_id ORDER BY object_id) AS k FROM vis), d AS (SELECT scene_id, ARG_MIN(x, portal_id) AS dx, ARG_MIN(y, portal_id) AS dy, ARG_MIN(room_a, portal_id) AS room_a FROM {{portals}} GROUP BY 1),
