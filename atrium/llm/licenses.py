@@ -163,6 +163,9 @@ class Scanner:
         self.required = [self.words.of(" ".join(REQUIRED.get(n, ()))) for n in self.names]
         self.lengths = [len(s) for s in sequences]
         self.sets = [np.unique(shingles(s)) for s in sequences]
+        # A superset of all templates' shingles by their top bits: what has too few of them near a place needs no exact look.
+        self.any = np.zeros(1 << BITS, bool)
+        self.any[np.concatenate(self.sets) >> np.uint64(64 - BITS)] = True
         self.where: list[dict[int, list[tuple[int, int]]]] = [defaultdict(list) for _ in range(settings.bands)]
         self.maps = np.zeros((settings.bands, 1 << BITS), bool)
         for t, s in enumerate(sequences):
@@ -189,11 +192,17 @@ class Scanner:
                         out[long[n]].add((t, at - first - offset))
         return out
 
-    def contained(self, words: np.ndarray, t: int, start: int) -> tuple[float, int, int] | None:
-        """The template's containment near a place, and the first and last word that take part."""
+    def contained(self, words: np.ndarray, pairs: np.ndarray, before: np.ndarray, t: int, start: int) -> tuple[float, int, int] | None:
+        """The template's containment near a place, and the first and last word that take part.
+
+        pairs are the words' shingles, before[i] counts those before i that may be of any template; too few of
+        them near the place rule out the containment without an exact look.
+        """
         slack = 1 + self.lengths[t] // 4
         low, high = max(0, start - slack), min(len(words), start + self.lengths[t] + slack)
-        here = shingles(words[low:high])
+        if (before[max(low, high - 1)] - before[low]) / len(self.sets[t]) < self.settings.containment:
+            return None
+        here = pairs[low : max(low, high - 1)]
         found = np.isin(here, self.sets[t])
         share = len(np.unique(here[found])) / len(self.sets[t])
         if share < self.settings.containment:
@@ -205,7 +214,9 @@ class Scanner:
 
     def matches(self, words: np.ndarray, proposed: set[tuple[int, int]]) -> list[tuple[str, float, int, int]]:
         """(template, containment, first word, last word) of verified proposals; of overlapping ones the best, whatever its template."""
-        found = {(t, *got) for t, start in proposed if (got := self.contained(words, t, start))}
+        pairs = shingles(words)
+        before = np.concatenate([[0], np.cumsum(self.any[pairs >> np.uint64(64 - BITS)])])
+        found = {(t, *got) for t, start in proposed if (got := self.contained(words, pairs, before, t, start))}
         taken: list[tuple[int, float, int, int]] = []
         for match in sorted(found, key=lambda m: (-m[1], -self.lengths[m[0]], m[3] - m[2], m[2], m[0])):
             if all(match[3] < m[2] or match[2] > m[3] for m in taken):
