@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from atrium.llm import q_bpe, q_chat, q_ctw, q_licenses, q_media, q_neardup, q_packing, q_quality, q_tokenfile, q_toxicity, q_trie
+from atrium.llm import q_bpe, q_chat, q_ctw, q_langid, q_licenses, q_media, q_neardup, q_packing, q_quality, q_tokenfile, q_toxicity, q_trie, q_variants
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,9 +21,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": q_packing.op8_packing,
         "op9_quality": q_quality.op9_quality,
         "op10_token_files": q_tokenfile.op10_token_files,
+        "op11_language_id": q_langid.op11_language_id,
+        "op12_spelling_variants": q_variants.op12_spelling_variants,
         "op13_prefix_trie": q_trie.op13_prefix_trie,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": q_chat.OP1_SQL, "op4_near_dedup": q_neardup.OP4_SQL, "op9_quality": q_quality.OP9_SQL, "op13_prefix_trie": q_trie.OP13_SQL}
+    return {"op1_chat_format": q_chat.OP1_SQL, "op4_near_dedup": q_neardup.OP4_SQL, "op9_quality": q_quality.OP9_SQL, "op12_spelling_variants": q_variants.OP12_SQL, "op13_prefix_trie": q_trie.OP13_SQL}
