@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from atrium.functions import geometry as G
 from atrium.operators import objects as O
+from atrium.operators.views import CORNERS, FOCAL, WIDTH
 
 REGIONS: dict[str, Callable[..., DataFrame]] = {}
 #: Camera height over the floor, and candidates for each view that is asked for.
@@ -258,6 +259,54 @@ def straight_path(pairs: DataFrame, frames: int = 12) -> DataFrame:
     return on.withColumns({c: (1 - t) * F.col(f"a_{c}") + t * F.col(f"b_{c}") for c in VIEW})
 
 
+#: Directions from an object to its preset views: fixed values.
+PRESETS = {
+    "front": (0.0, -1.0, 0.3), "back": (0.0, 1.0, 0.3), "left": (-1.0, 0.0, 0.3), "right": (1.0, 0.0, 0.3), "above": (0.0, 0.0, 1.0), "diagonal": (1.0, -1.0, 0.6), "close": (0.0, -0.5, 0.15), "low": (0.0, -1.0, -0.3),
+    "front_left": (-1.0, -1.0, 0.3), "front_right": (1.0, -1.0, 0.3), "back_left": (-1.0, 1.0, 0.3), "back_right": (1.0, 1.0, 0.3),
+    "front_left_up": (-1.0, -1.0, 0.6), "front_right_up": (1.0, -1.0, 0.6), "back_left_up": (-1.0, 1.0, 0.6), "back_right_up": (1.0, 1.0, 0.6),
+    "front_left_low": (-1.0, -1.0, -0.2), "front_right_low": (1.0, -1.0, -0.2), "back_left_low": (-1.0, 1.0, -0.2), "back_right_low": (1.0, 1.0, -0.2),
+}
+
+
+def preset_views(objects: DataFrame, rooms: DataFrame, boxes: DataFrame, presets: dict[str, tuple[float, float, float]] = PRESETS, scale: float = 1.0) -> DataFrame:
+    """(scene_id, object_id, preset, steps, reason, pose): an object's first view outwards along each direction that has it whole in the image.
+
+    The camera leaves the box and moves away by equal steps, looking back at the centre, so that its axes stay and each
+    corner asks for a least distance; their greatest, in steps, is the answer, without trying. Then no place on the way
+    may be in a box or out of all rooms. `reason` is null for a view, else too_far, blocked or outside; the pose is
+    null then. Objects without a box have no rows.
+    """
+    at = F.explode(F.array(*(F.struct(F.lit(n).alias("preset"), *(F.lit(x / sum(y * y for y in d) ** 0.5).alias(f"d{a}") for a, x in zip(G.AXES, d))) for n, d in presets.items())))
+    rows = objects.where("min_x IS NOT NULL").select("scene_id", "object_id", *(G.center(a).alias(f"c{a}") for a in G.AXES), *((G.dim(a) / 2).alias(f"h{a}") for a in G.AXES), at.alias("p_")).select("*", "p_.*").drop("p_")
+    d, h = ([F.col(f"{n}{a}") for a in G.AXES] for n in "dh")
+    big = 2 * F.greatest(*h)
+    out = F.least(*(F.when(F.abs(x) >= 1e-9, y / F.abs(x)) for x, y in zip(d, h)))
+    level = F.sqrt(d[0] * d[0] + d[1] * d[1])
+    flat = level >= 1e-6
+    # Forward is against the direction; right and up are level and upright to it.
+    rx, ry = F.when(flat, -d[1] / level).otherwise(F.lit(1.0)), F.when(flat, d[0] / level).otherwise(F.lit(0.0))
+    rows = rows.withColumns({"begin_": out + F.greatest(F.lit(1e-3), 0.01 * big), "step_": F.greatest(F.lit(0.2), 0.2 * big) * scale, "most_": 20.0 * scale * big, "rx_": rx, "ry_": ry})
+    rows = rows.withColumns({"ux_": -F.col("ry_") * d[2], "uy_": F.col("rx_") * d[2], "uz_": F.col("ry_") * d[0] - F.col("rx_") * d[1]})
+    needs = []
+    for i, j, k in CORNERS:
+        o = [x * (2 * s - 1) for x, s in zip(h, (i, j, k))]
+        right, up = o[0] * F.col("rx_") + o[1] * F.col("ry_"), o[0] * F.col("ux_") + o[1] * F.col("uy_") + o[2] * F.col("uz_")
+        needs.append(o[0] * d[0] + o[1] * d[1] + o[2] * d[2] + F.greatest(F.abs(right), F.abs(up)) * (2 * FOCAL / WIDTH))
+    # Only beyond its need is a corner in the image: a whole number of steps to it is one too few.
+    steps = F.greatest(F.lit(0), F.floor(F.round((F.greatest(*needs) - F.col("begin_")) / F.col("step_"), 9)).cast("int") + 1)
+    rows = rows.withColumns({"steps": steps, "far_": F.col("begin_") + steps * F.col("step_")}).withColumn("late_", F.round((F.col("steps") - 1) * F.col("step_"), 9) > F.round(F.col("most_"), 9))
+    keep = ["scene_id", "object_id", "preset"]
+    places_ = rows.where("NOT late_").withColumn("k_", F.explode(F.sequence(F.lit(0), F.col("steps"))))
+    places_ = places_.select(*keep, "k_", *((F.col(f"c{a}") + F.col(f"d{a}") * (F.col("begin_") + F.col("k_") * F.col("step_"))).alias(f"p{a}") for a in G.AXES))
+    free = O.outside_boxes(places_, boxes, 0.0).select(*keep, "k_", "px", "py", "pz")
+    home = O.in_rooms(free, rooms)
+    counted = free.groupBy(*keep).agg(F.count("*").alias("free_")).join(home.groupBy(*keep).agg(F.count("*").alias("home_")), keep, "left")
+    rows = rows.join(counted, keep, "left")
+    reason = F.when(F.col("late_"), "too_far").when(F.coalesce("free_", F.lit(0)) <= F.col("steps"), "blocked").when(F.coalesce("home_", F.lit(0)) <= F.col("steps"), "outside")
+    pose = [F.when(reason.isNull(), F.col(f"c{a}") + F.col(f"d{a}") * F.col("far_")).alias(f"p{a}") for a in G.AXES]
+    return rows.select(*keep, "steps", reason.alias("reason"), *pose, *(F.when(reason.isNull(), F.col(f"c{a}")).alias(f"t{a}") for a in G.AXES))
+
+
 def sample_region(name: str, *args, **kwargs) -> DataFrame:
     if name not in REGIONS:
         raise KeyError(f"unknown region generator: {name}")

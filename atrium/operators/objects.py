@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from atrium.functions import geometry as G
 from atrium.functions import labels as L
+from atrium.operators.storage import written
+
 
-def valid_objects(objects: DataFrame, blacklist: tuple[str, ...] = L.STRUCTURAL) -> DataFrame:
+def valid_objects(objects: DataFrame, blacklist: tuple[str, ...] = L.BLACKLIST) -> DataFrame:
+    """Objects whose label isn't blacklisted; those without a label go."""
     return objects.where(~L.among(F.col("label"), blacklist))
 
 
@@ -20,11 +25,13 @@ def is_meaningful(min_volume: float = 0.02, prefix: str = "", fine: tuple[str, .
     return ~L.among(F.col(f"{prefix}label"), fine) & (G.volume(prefix) >= min_volume)
 
 
-def is_landmark(prefix: str = "", landmarks: tuple[str, ...] = L.LANDMARK) -> Column:
-    return is_meaningful(0.04, prefix) & (L.matches(F.col(f"{prefix}label"), landmarks) | (G.volume(prefix) >= 0.12))
+def is_landmark(prefix: str = "", landmarks: tuple[str, ...] = L.LANDMARK, marked: bool = False) -> Column:
+    """A reference that is easily told; `marked` objects have the masks of their labels, which spare the match."""
+    named = L.holds(f"{prefix}mk_", ("landmark",), L.MARKS) if marked else L.matches(F.col(f"{prefix}label"), landmarks)
+    return is_meaningful(0.04, prefix) & (named | (G.volume(prefix) >= 0.12))
 
 
-def reject_reason(min_side: float = 0.1, max_side: float = 3.0, min_volume: float = 0.1, flatness: float = 0.05, blacklist: tuple[str, ...] = L.STRUCTURAL, room: Column | None = None) -> Column:
+def reject_reason(min_side: float = 0.1, max_side: float = 3.0, min_volume: float = 0.1, flatness: float = 0.05, blacklist: tuple[str, ...] = L.BLACKLIST, room: Column | None = None) -> Column:
     """Why an object is left out, the first reason that holds; null if it stays. `room` is its room, null for none."""
     reason = F.when(F.col("min_x").isNull(), "no_box").when(L.among(F.col("label"), blacklist), "blacklisted")
     reason = reason.when(G.shortest() < min_side, "too_small_side").when(G.longest() > max_side, "too_large").when(G.volume() < min_volume, "too_small_volume").when(G.shortest() < flatness * G.longest(), "too_flat")
@@ -104,25 +111,28 @@ def nearest_in_cells(roomed: DataFrame, cell: float = 1.0) -> DataFrame:
 
     Objects meet those of the nine cells around their own. What has none there, or only one farther than a
     cell's side, is searched again on a grid of twice the side, until nothing is left without its answer or
-    the cell is as wide as a room. Ties go to the smaller id.
+    the cell is as wide as a room. Ties go to the smaller id. Every round is written, so that a plan holds one
+    round however many there are.
     """
     points = roomed.select("scene_id", "room_id", "object_id", G.center("x").alias("x"), G.center("y").alias("y"))
     width = points.groupBy("scene_id", "room_id").agg(F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y")).alias("w")).agg(F.max("w")).first()[0] or 0.0
-    todo, found = points, None
+    points = written(points)
+    todo, found = points, []
     while True:
         at = lambda c, d=0: (F.floor(F.col(c) / cell) + d).cast("long")  # noqa: E731, B023
         others = points.select("scene_id", "room_id", F.col("object_id").alias("other_id"), F.col("x").alias("ox"), F.col("y").alias("oy"), at("x").alias("i"), at("y").alias("j"))
         steps = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)))
         mine = todo.withColumn("s", F.explode(steps)).withColumns({"i": at("x") + F.col("s.a"), "j": at("y") + F.col("s.b")})
-        met = mine.join(others, ["scene_id", "room_id", "i", "j"]).where("object_id <> other_id")
         d = F.sqrt((F.col("x") - F.col("ox")) * (F.col("x") - F.col("ox")) + (F.col("y") - F.col("oy")) * (F.col("y") - F.col("oy")))
-        best = met.groupBy("scene_id", "object_id").agg(F.min(F.struct(d.alias("d"), "other_id")).alias("m")).select("scene_id", "object_id", "m.other_id", "m.d")
+        # Objects without another in reach stay in the round with a null, so that what is left needs no join back.
+        met = mine.join(others, ["scene_id", "room_id", "i", "j"], "left")
+        best = F.min(F.when(F.col("object_id") != F.col("other_id"), F.struct(d.alias("d"), "other_id"))).alias("m")
+        met = written(met.groupBy("scene_id", "room_id", "object_id", "x", "y").agg(best))
         last = cell > width
-        sure = best if last else best.where(F.col("d") <= cell)
-        found = sure if found is None else found.unionByName(sure)
-        if last:
-            return found
-        todo, cell = todo.join(sure.select("scene_id", "object_id"), ["scene_id", "object_id"], "left_anti"), 2 * cell
+        found.append(met.where("m IS NOT NULL" if last else F.col("m.d") <= cell).select("scene_id", "object_id", "m.other_id", "m.d"))
+        todo, cell = met.where(F.col("m").isNull() | (F.col("m.d") > cell)).drop("m"), 2 * cell
+        if last or todo.isEmpty():
+            return reduce(DataFrame.unionByName, found)
 
 
 def farthest_pair(pairs: DataFrame) -> DataFrame:
@@ -186,10 +196,12 @@ def distractor_labels(roomed: DataFrame, most: int = 3) -> DataFrame:
     Shapes are made once per object, and an object meets each other label of its room once, with the least
     shape distance of its objects.
     """
-    shaped = L.with_groups(with_shape(roomed)).select("scene_id", "room_id", "object_id", "label", "s1_", "s2_", "s3_", "g_", "ap_", "cf_")
+    have = [c for c in ("g_", "ap_", "cf_") if c in roomed.columns]
+    shaped = with_shape(roomed).select("scene_id", "room_id", "object_id", "label", "s1_", "s2_", "s3_", *have)
+    shaped = shaped if have else written(L.with_groups(written(shaped)))
     pairs = prefixed(shaped, "a_", ("scene_id", "room_id")).join(prefixed(shaped, "b_", ("scene_id", "room_id")), ["scene_id", "room_id"])
     gap = F.sqrt(sum(((F.col(f"a_s{i}_") - F.col(f"b_s{i}_")) * (F.col(f"a_s{i}_") - F.col(f"b_s{i}_")) for i in (1, 2, 3)), F.lit(0.0)))
-    alike = F.arrays_overlap("a_ap_", "b_ap_")
+    alike = L.shares("a_ap_", "b_ap_")
     some = pairs.where((F.col("a_label") != F.col("b_label")) & L.confusable())
     kinds = some.groupBy("scene_id", F.col("a_object_id").alias("object_id"), F.col("b_label").alias("label")).agg(F.round(F.min(gap), 9).alias("shape"), F.max(alike).alias("alike"))
     only = kinds.withColumn("any_alike", F.max("alike").over(Window.partitionBy("scene_id", "object_id"))).where("alike OR NOT any_alike")

@@ -16,23 +16,36 @@ SLACK = 1e-3
 #: A blocker must be nearer than a corner by this share of the way.
 NEARER = 0.02
 FAR = 1e300
+#: Side of the cells in which views' bounds and blockers meet, in metres.
+CELL = 2.0
 
 
 def touches(a: str, b: str, slack: float = SLACK) -> Column:
     return (G.gap("x", a, b) <= slack) & (G.gap("y", a, b) <= slack) & (G.gap("z", a, b) <= slack)
 
 
-def between(pairs: DataFrame, blockers: DataFrame) -> DataFrame:
-    """pairs (view with object) beside the blockers (b_) of their scene that can meet a ray from the camera into the box.
+def between(pairs: DataFrame, blockers: DataFrame, cell: float = CELL) -> DataFrame:
+    """pairs (view with object) beside the blockers (b_) that can meet a ray from the camera into the box.
 
-    An equality of scene, and as a residual that the blocker reaches into the bounds of camera and box.
+    Both are dealt to the cells of their level bounds, the pairs' from the camera to the box, and meet by scene
+    and cell; of the cells that two bounds share they meet in the first alone, so once.
     """
-    b = blockers.select("scene_id", F.col("object_id").alias("b_object_id"), *(F.col(f"{n}_{a}").alias(f"b_{n}_{a}") for a in G.AXES for n in ("min", "max")))
-    joined = pairs.join(b, "scene_id").where(F.col("object_id") != F.col("b_object_id"))
+    b = blockers.select(F.col("scene_id").alias("b_scene_"), F.col("object_id").alias("b_object_id"), *(F.col(f"{n}_{a}").alias(f"b_{n}_{a}") for a in G.AXES for n in ("min", "max")))
+    at = lambda x: F.floor(x / cell).cast("int")
+    for a in "xy":
+        p = F.col(f"p{a}")
+        low, high = at(F.least(p, G.lo(a))), at(F.greatest(p, G.hi(a)))
+        pairs = pairs.withColumns({f"first_{a}_": low, f"cell_{a}_": F.explode(F.sequence(low, high))})
+        low, high = at(G.lo(a, "b_")), at(G.hi(a, "b_"))
+        b = b.withColumns({f"b_first_{a}_": low, f"b_cell_{a}_": F.explode(F.sequence(low, high))})
+    same = F.col("scene_id") == F.col("b_scene_")
+    for a in "xy":
+        same = same & (F.col(f"cell_{a}_") == F.col(f"b_cell_{a}_")) & (F.col(f"cell_{a}_") == F.greatest(f"first_{a}_", f"b_first_{a}_"))
+    joined = pairs.join(b, same).where(F.col("object_id") != F.col("b_object_id"))
     for a in G.AXES:
         p = F.col(f"p{a}")
         joined = joined.where((G.lo(a, "b_") <= F.greatest(p, G.hi(a))) & (G.hi(a, "b_") >= F.least(p, G.lo(a))))
-    return joined
+    return joined.drop("b_scene_", *(f"{n}{a}_" for n in ("first_", "cell_", "b_first_", "b_cell_") for a in "xy"))
 
 
 def with_rays(rows: DataFrame, inset: bool, center: bool = False) -> tuple[DataFrame, list[tuple[Column, Column, Column]]]:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from atrium.operators.storage import written
+
 
 def slot_fraction(rows: DataFrame, slots: DataFrame | None = None) -> DataFrame:
     """Share of a slot's predicates that hold at a step; an unknown one counts as failed.
@@ -134,32 +134,18 @@ def reachable(edges: DataFrame, starts: DataFrame) -> DataFrame:
     nothing is new. Every round is written, so that its lineage stays short.
     """
     found = starts.select("scene_id", "start", "blocked", F.col("start").alias("room"), F.lit(0).alias("hops")).distinct()
-    found = frontier = checkpointed(found)
+    found = frontier = written(found)
     hops = 0
     while not frontier.isEmpty():
         hops += 1
         ahead = frontier.join(edges.withColumnRenamed("src", "room"), ["scene_id", "room"]).where(~F.col("dst").eqNullSafe(F.col("blocked"))).select("scene_id", "start", "blocked", F.col("dst").alias("room")).distinct()
         known = found.select("scene_id", F.col("start").alias("s_"), F.col("blocked").alias("b_"), F.col("room").alias("r_")).withColumnRenamed("scene_id", "c_")
         new = ahead.join(known, (F.col("scene_id") == F.col("c_")) & (F.col("start") == F.col("s_")) & F.col("blocked").eqNullSafe(F.col("b_")) & (F.col("room") == F.col("r_")), "left_anti")
-        frontier = checkpointed(new.withColumn("hops", F.lit(hops)))
+        frontier = written(new.withColumn("hops", F.lit(hops)))
         found = found.unionByName(frontier)
     return found
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df written below spark.checkpoint.dir, which the session names on a cluster; local sessions get a folder of their own."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-            folder = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-            spark.conf.set("spark.checkpoint.dir", folder)
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
-
-
 def replay(steps: DataFrame, move: float = 0.25, turn: float = 30.0, look: float = 15.0, most: float = 75.0) -> DataFrame:
     """Pose after each action from (0, 0) facing east: running sums of turns, then of moves in the heading they give.
 

@@ -16,6 +16,7 @@ from atrium.functions import geometry as G
 from atrium.functions import labels as L
 from atrium.operators import objects as O
 from atrium.operators import occlusion, views
+from atrium.operators.storage import written
 
 INSTANTIATORS: dict[str, Callable[..., DataFrame]] = {}
 ROOM = ("scene_id", "room_id")
@@ -38,8 +39,13 @@ def drawn(*keys: str, percent: int = 40) -> Column:
 
 
 def grouped(roomed: DataFrame) -> DataFrame:
-    """Candidate objects with the groups of their labels."""
-    return L.with_groups(O.candidate_objects(roomed))
+    """Candidate objects with the groups of their labels; written, since templates join them with themselves.
+
+    Objects that have their groups already are taken as they are.
+    """
+    if "g_" in roomed.columns:
+        return O.candidate_objects(roomed)
+    return written(L.with_groups(written(O.candidate_objects(roomed))))
 
 
 def room_pairs(objects: DataFrame) -> DataFrame:
@@ -71,20 +77,28 @@ def larger(roomed: DataFrame, low: float = 1.15, high: float = 1.5) -> DataFrame
 
 
 def with_reference(objects: DataFrame) -> DataFrame:
-    """Pairs a < b of comparable objects of a room beside a third one, s_, of another label."""
-    refs = O.prefixed(objects, "s_", ROOM)
-    pairs = room_pairs(objects).where(L.comparable() & (F.col("a_label") != F.col("b_label")))
+    """Pairs a < b of comparable objects of a room beside a third one, s_, of another label; ids, labels, masks and centres alone."""
+    flags = [c for c in ("landmark", "ok") if c in objects.columns]
+    narrow = objects.select(*ROOM, "object_id", "label", "g_", *flags, *(G.center(a).alias(f"c{a}") for a in G.AXES))
+    refs = O.prefixed(narrow, "s_", ROOM)
+    pairs = room_pairs(narrow).where(L.comparable() & (F.col("a_label") != F.col("b_label")))
     return pairs.join(refs, list(ROOM)).where((F.col("s_label") != F.col("a_label")) & (F.col("s_label") != F.col("b_label")))
 
 
+def apart(a: str, b: str) -> Column:
+    """Distance of two centres held as columns cx, cy, cz."""
+    d = [F.col(f"{a}c{x}") - F.col(f"{b}c{x}") for x in G.AXES]
+    return F.sqrt(d[0] * d[0] + d[1] * d[1] + d[2] * d[2])
+
+
 @register_template("T05")
 def closer(roomed: DataFrame, ratio: float = 1.3) -> DataFrame:
     """Which of two comparable references is closer to a subject."""
-    objects = grouped(roomed).withColumn("landmark", O.is_landmark()).where(O.is_meaningful(0.03))
+    objects = grouped(roomed).withColumn("landmark", O.is_landmark(marked=True)).where(O.is_meaningful(0.03))
     rows = with_reference(objects)
-    both = F.array_union("a_g_", "b_g_")
-    fits = (F.size("s_g_") > 0) & (F.size(both) > 0) & (F.arrays_overlap("s_g_", both) | F.col("s_landmark"))
-    rows = rows.withColumns({"da": G.center_distance("s_", "a_"), "db": G.center_distance("s_", "b_")}).where(fits & (F.least("da", "db") >= 1e-3) & (F.greatest("da", "db") >= ratio * F.least("da", "db")))
+    both = F.col("a_g_").bitwiseOR(F.col("b_g_"))
+    fits = (F.col("s_g_") != 0) & (both != 0) & ((F.col("s_g_").bitwiseAND(both) != 0) | F.col("s_landmark"))
+    rows = rows.withColumns({"da": apart("s_", "a_"), "db": apart("s_", "b_")}).where(fits & (F.least("da", "db") >= 1e-3) & (F.greatest("da", "db") >= ratio * F.least("da", "db")))
     answer = F.when(F.col("da") < F.col("db"), F.col("a_label")).otherwise(F.col("b_label"))
     return rows.select("scene_id", F.col("s_object_id").alias("subject_id"), F.col("a_object_id").alias("ref_b_id"), F.col("b_object_id").alias("ref_c_id"), answer.alias("gt_answer"), F.array("a_label", "b_label").alias("choices"))
 
@@ -103,8 +117,8 @@ def clearance(portals: DataFrame, objects: DataFrame) -> DataFrame:
 def straight_line(roomed: DataFrame, least: int = 3, most: int = 5, reach: float = 2.8, radius: float = 2.2) -> DataFrame:
     """Does a compact group stand in a line: for each seed the nearest object of each label of its groups."""
     objects = grouped(roomed).where(O.is_meaningful())
-    seeds, others = O.prefixed(objects.where(F.size("g_") > 0), "a_", ROOM), O.prefixed(objects, "b_", ROOM)
-    met = seeds.join(others, list(ROOM)).where(F.arrays_overlap("a_g_", "b_g_")).withColumn("d", F.round(G.xy_distance("a_", "b_"), 9)).where((F.col("d") <= reach) | (F.col("a_object_id") == F.col("b_object_id")))
+    seeds, others = O.prefixed(objects.where("g_ <> 0"), "a_", ROOM), O.prefixed(objects, "b_", ROOM)
+    met = seeds.join(others, list(ROOM)).where(L.shares("a_g_", "b_g_")).withColumn("d", F.round(G.xy_distance("a_", "b_"), 9)).where((F.col("d") <= reach) | (F.col("a_object_id") == F.col("b_object_id")))
     seed = Window.partitionBy("scene_id", "a_object_id")
     once = met.withColumn("k", F.row_number().over(Window.partitionBy("scene_id", "a_object_id", "b_label").orderBy("d", "b_object_id"))).where("k = 1")
     group = once.withColumn("k", F.row_number().over(seed.orderBy("d", "b_object_id"))).where(F.col("k") <= most)
@@ -138,9 +152,9 @@ def occluded_pairs(roomed: DataFrame, rooms: DataFrame, blockers: DataFrame, bey
 
     The camera stands on the far side of the occluder, where positions are valid, and looks at the target.
     """
-    objects = O.candidate_objects(roomed)
-    a, b = O.prefixed(objects, "o_", ROOM), objects
-    plausible = L.matches(F.col("o_label"), L.OCCLUDERS) & O.is_meaningful(0.01) & ~L.matches(F.col("label"), L.SEMANTIC["flat_wall_visual"]) & (G.volume() <= 1.2 * F.greatest(G.volume("o_"), F.lit(1e-6)))
+    objects = grouped(roomed)
+    a, b = O.prefixed(objects, "o_", ROOM).where(L.holds("o_mk_", ("occluder",), L.MARKS)), objects.where(~L.holds("g_", ("flat_wall_visual",)))
+    plausible = O.is_meaningful(0.01) & (G.volume() <= 1.2 * F.greatest(G.volume("o_"), F.lit(1e-6)))
     pairs = a.join(b, list(ROOM)).where((F.col("o_object_id") != F.col("object_id")) & plausible)
     d = [G.center(x, "o_") - G.center(x) for x in G.AXES]
     size = F.sqrt(d[0] * d[0] + d[1] * d[1] + d[2] * d[2])
@@ -210,8 +224,8 @@ def bearing_search(roomed: DataFrame) -> DataFrame:
 @register_template("T21")
 def nearest_of_two(roomed: DataFrame, difference: float = 0.4, ratio: float = 1.25) -> DataFrame:
     """Which of two comparable objects is nearer to a landmark."""
-    objects = grouped(roomed).withColumns({"landmark": O.is_landmark(), "ok": O.is_meaningful(0.02)})
-    rows = with_reference(objects).where("s_landmark AND a_ok AND b_ok").withColumns({"da": G.center_distance("s_", "a_"), "db": G.center_distance("s_", "b_")})
+    objects = grouped(roomed).withColumns({"landmark": O.is_landmark(marked=True), "ok": O.is_meaningful(0.02)})
+    rows = with_reference(objects).where("s_landmark AND a_ok AND b_ok").withColumns({"da": apart("s_", "a_"), "db": apart("s_", "b_")})
     rows = rows.where((F.abs(F.col("da") - F.col("db")) >= difference) & (F.least("da", "db") > 1e-6) & (F.greatest("da", "db") >= ratio * F.least("da", "db")))
     answer = F.when(F.col("da") < F.col("db"), F.col("a_label")).otherwise(F.col("b_label"))
     return rows.select("scene_id", F.col("s_object_id").alias("reference_id"), F.col("a_object_id").alias("obj_a_id"), F.col("b_object_id").alias("obj_b_id"), answer.alias("gt_answer"), F.array("a_label", "b_label").alias("choices"))
@@ -264,7 +278,7 @@ def hidden_count(roomed: DataFrame, neighbours: int = 6, least: int = 3, radius:
     occ = p.select("scene_id", "room_id", F.col("object_id").alias("occluder_id"), F.col("label").alias("occluder_label"), F.col("x").alias("ox"), F.col("y").alias("oy"), F.col("z").alias("oz"), F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy") + F.col("dz") * F.col("dz")).alias("diag"), F.col("g_").alias("og_"))
     hides = F.lit(False)
     for group, hidden in L.HIDES.items():
-        hides = hides | (F.array_contains("og_", group) & F.arrays_overlap("target_g_", F.array(*map(F.lit, hidden))))
+        hides = hides | (L.holds("og_", (group,)) & L.holds("target_g_", hidden))
     far = F.sqrt((F.col("ox") - F.col("mx")) * (F.col("ox") - F.col("mx")) + (F.col("oy") - F.col("my")) * (F.col("oy") - F.col("my")) + (F.col("oz") - F.col("mz")) * (F.col("oz") - F.col("mz")))
     met = home.join(occ, ["scene_id", "room_id"]).where((F.col("occluder_label") != F.col("label")) & hides).withColumn("far", far).where((F.col("diag") >= 0.60) & (F.col("far") < 1.8))
     best = met.groupBy("scene_id", "label", "n").agg(F.min(F.struct(F.round(F.col("far") - 0.15 * F.col("diag"), 9).alias("score"), "occluder_id")).getField("occluder_id").alias("occluder_id"))
@@ -287,7 +301,7 @@ def contact_relation(a: str = "a_", b: str = "b_") -> Column:
     rests = lambda top, bottom: (F.abs(G.hi("z", bottom) - G.lo("z", top)) < 0.08) & (area > 0.01) & L.among(F.col(f"{top}label"), L.SUPPORTED) & L.among(F.col(f"{bottom}label"), L.SUPPORTS) & (G.footprint(top) <= 0.75 * G.footprint(bottom))
     pairs = F.lit(False)
     for x, y in L.BESIDE_GROUPS:
-        pairs = pairs | (F.array_contains(f"{a}g_", x) & F.array_contains(f"{b}g_", y)) | (F.array_contains(f"{a}g_", y) & F.array_contains(f"{b}g_", x))
+        pairs = pairs | (L.holds(f"{a}g_", (x,)) & L.holds(f"{b}g_", (y,))) | (L.holds(f"{a}g_", (y,)) & L.holds(f"{b}g_", (x,)))
     gap = G.box_distance(a, b, ("x", "y"))
     beside = (gap <= 0.20) & (F.abs(G.lo("z", a) - G.lo("z", b)) < 0.10) & L.among(F.col(f"{a}label"), L.BESIDE) & L.among(F.col(f"{b}label"), L.BESIDE) & pairs & (area <= 0.05 * F.least(G.footprint(a), G.footprint(b)))
     return F.when(rests(b, a), "under").when(rests(a, b), "resting_on").when(beside, "beside")

@@ -15,6 +15,8 @@ from atrium.functions import geometry as G
 
 #: Intrinsics: pixels of the square image and its focal length.
 WIDTH, FOCAL = 400.0, 160.0
+#: Image coordinates are whole multiples of 1 / SNAP pixel, so that a corner on the image's edge is in it on any engine.
+SNAP = 1e6
 #: Corners for visibility lie so far inside their box: a share of its half sides, at most so many metres.
 INSET, INSET_MOST = 0.05, 0.05
 #: Low and high side of x, y and z for each corner.
@@ -48,6 +50,10 @@ def view_objects(views: DataFrame, roomed: DataFrame) -> DataFrame:
     return views.join(roomed, ["scene_id", "room_id"])
 
 
+def snapped(x: Column) -> Column:
+    return F.rint(x * SNAP) / SNAP
+
+
 def sides(axis: str, inset: bool = False) -> tuple[Column, Column]:
     """Low and high side of a box, for visibility a little inside it."""
     low, high = G.lo(axis), G.hi(axis)
@@ -73,7 +79,7 @@ def with_projection(pairs: DataFrame) -> DataFrame:
     for n, at in enumerate(CORNERS):
         for kind in "cs":
             term = lambda m, axes="xyz": sum((F.col(f"{kind}{m}{a}{i}_") for a, i in zip(axes, at)), F.lit(0.0))  # noqa: E731, B023
-            raw |= {f"{kind}d{n}_": term("f"), f"{kind}u{n}_": WIDTH / 2 - FOCAL * F.try_divide(term("r", "xy"), term("f")), f"{kind}v{n}_": WIDTH / 2 + FOCAL * F.try_divide(term("u"), term("f"))}
+            raw |= {f"{kind}d{n}_": term("f"), f"{kind}u{n}_": snapped(WIDTH / 2 - FOCAL * F.try_divide(term("r", "xy"), term("f"))), f"{kind}v{n}_": snapped(WIDTH / 2 + FOCAL * F.try_divide(term("u"), term("f")))}
             bits[f"{kind}i{n}_"] = (F.col(f"{kind}d{n}_") > 1e-6) & G.in_image(F.col(f"{kind}u{n}_"), F.col(f"{kind}v{n}_"), WIDTH)
     us, vs = ([F.when(F.col(f"ci{n}_"), F.col(f"c{a}{n}_")) for n in range(8)] for a in "uv")
     count = sum((F.col(f"ci{n}_").cast("int") for n in range(8)), F.lit(0))
@@ -112,3 +118,21 @@ def anchor_object(seen: DataFrame) -> DataFrame:
     """The object with the largest image box of each view, ties to the smaller id."""
     best = F.max(F.struct(F.round(F.col("box_w") * F.col("box_h"), 6).alias("area"), (-F.col("object_id")).alias("id")))
     return seen.groupBy("view_id").agg(best.alias("m")).select("view_id", (-F.col("m.id")).alias("object_id"), F.col("m.area").alias("area"))
+
+
+def view_pair_counts(seen: DataFrame, least: float = 0.05) -> DataFrame:
+    """(scene_id, object_id, n_views, n_pairs): ordered pairs of a start and an end view, at least `least` metres apart, that see one object.
+
+    All pairs count, none is made: from the square of an object's views those come off that are too near, which meet
+    by cells of that side after views of one position have become one row. Null positions are near nothing.
+    """
+    views = seen.select("scene_id", "object_id", *(f"p{a}" for a in G.AXES)).groupBy("scene_id", "object_id", *(f"p{a}" for a in G.AXES)).agg(F.count("*").alias("m"))
+    at = [F.floor(F.col(f"p{a}") / least).cast("long").alias(f"i{a}") for a in G.AXES]
+    placed = views.select("*", *at).withColumn("id", F.struct(*(f"p{a}" for a in G.AXES)))
+    around = F.explode(F.array(*(F.struct(*(F.lit(s).alias(a) for a, s in zip(G.AXES, step))) for step in itertools.product((-1, 0, 1), repeat=3))))
+    a = placed.withColumn("s", around).select("scene_id", "object_id", F.col("id").alias("a"), F.col("m").alias("am"), *((F.col(f"i{x}") + F.col(f"s.{x}")).alias(f"i{x}") for x in G.AXES))
+    b = placed.select("scene_id", "object_id", F.col("id").alias("b"), F.col("m").alias("bm"), *(f"i{x}" for x in G.AXES))
+    d = sum(((F.col(f"a.p{x}") - F.col(f"b.p{x}")) * (F.col(f"a.p{x}") - F.col(f"b.p{x}")) for x in G.AXES), F.lit(0.0))
+    near = a.join(b, ["scene_id", "object_id", *(f"i{x}" for x in G.AXES)]).where(d < least * least).groupBy("scene_id", "object_id").agg(F.sum(F.col("am") * F.col("bm")).alias("near"))
+    totals = views.groupBy("scene_id", "object_id").agg(F.sum("m").alias("n_views"))
+    return totals.join(near, ["scene_id", "object_id"], "left").select("scene_id", "object_id", "n_views", (F.col("n_views") * F.col("n_views") - F.coalesce("near", "n_views")).alias("n_pairs"))

@@ -222,9 +222,27 @@ def eight_headings(spark, sf_dir):
     return out.select("view_id", "heading", F.round("tx", 6).alias("tx"), F.round("ty", 6).alias("ty"))
 
 
-@query("""WITH n AS (SELECT a.view_id, t.i AS frame, t.i / 11.0::DOUBLE AS t, a.px AS ax, b.px AS ex, a.ty AS ay, b.ty AS by_ FROM {views} a JOIN {views} b ON a.scene_id = b.scene_id AND b.view_id = a.view_id + 1, range(12) t(i))
+@query("""WITH n AS (SELECT a.view_id, t.i AS frame, t.i / 11.0::DOUBLE AS t, a.px AS ax, b.px AS bx, a.ty AS ay, b.ty AS by_ FROM {views} a JOIN {views} b ON a.scene_id = b.scene_id AND b.view_id = a.view_id + 1, range(12) t(i))
 SELECT view_id, frame, ROUND((1 - t) * ax + t * bx, 6) AS px, ROUND((1 - t) * ay + t * by_, 6) AS ty FROM n""")
 def preset_paths(spark, sf_dir):
     views = scene(spark, sf_dir, "views")[0].select("scene_id", "view_id", *V.VIEW)
     a, b = (O.prefixed(views, p, ("scene_id",)).withColumn("n_", F.col(f"{p}view_id") + k) for p, k in (("a_", 1), ("b_", 0)))
     return V.straight_path(a.join(b, ["scene_id", "n_"])).select(F.col("a_view_id").alias("view_id"), "frame", F.round("px", 6).alias("px"), F.round("ty", 6).alias("ty"))
+
+
+PRESET_ROWS = ", ".join(f"('{n}', {x}::DOUBLE, {y}::DOUBLE, {z}::DOUBLE)" for n, (x, y, z) in V.PRESETS.items())
+
+
+@query(f"""WITH d AS (SELECT preset, x / SQRT(x * x + y * y + z * z) AS dx, y / SQRT(x * x + y * y + z * z) AS dy, z / SQRT(x * x + y * y + z * z) AS dz FROM (VALUES {PRESET_ROWS}) t(preset, x, y, z)),
+s AS (SELECT o.*, d.*, (min_x + max_x) / 2 AS cx, (min_y + max_y) / 2 AS cy, (min_z + max_z) / 2 AS cz, GREATEST(max_x - min_x, max_y - min_y, max_z - min_z) AS big, LEAST(CASE WHEN ABS(dx) >= 1e-9 THEN (max_x - min_x) / 2 / ABS(dx) ELSE 1e9 END, CASE WHEN ABS(dy) >= 1e-9 THEN (max_y - min_y) / 2 / ABS(dy) ELSE 1e9 END, CASE WHEN ABS(dz) >= 1e-9 THEN (max_z - min_z) / 2 / ABS(dz) ELSE 1e9 END) + GREATEST(0.001, 0.01 * big) AS begin_, GREATEST(0.2, 0.2 * big) AS step FROM {{objects}} o, d),
+k AS (SELECT *, begin_ + t.i * step AS far, cx + dx * far AS px, cy + dy * far AS py, cz + dz * far AS pz, CASE WHEN ABS(dz) > 0.999999 THEN 1.0 ELSE -dy / SQRT(dx * dx + dy * dy) END AS rx, CASE WHEN ABS(dz) > 0.999999 THEN 0.0 ELSE dx / SQRT(dx * dx + dy * dy) END AS ry, -ry * dz AS ux, rx * dz AS uy, ry * dx - rx * dy AS uz FROM s, range(40) t(i)),
+c AS (SELECT object_id, preset, i, far, px, py, pz, UNNEST([min_x, max_x, min_x, max_x, min_x, max_x, min_x, max_x]) - px AS x, UNNEST([min_y, min_y, max_y, max_y, min_y, min_y, max_y, max_y]) - py AS y, UNNEST([min_z, min_z, min_z, min_z, max_z, max_z, max_z, max_z]) - pz AS z, rx, ry, ux, uy, uz, dx, dy, dz FROM k),
+f AS (SELECT object_id, preset, MIN(i) AS steps FROM (SELECT object_id, preset, i FROM c GROUP BY ALL HAVING BOOL_AND(x * -dx + y * -dy + z * -dz > 1e-6 AND ABS(160.0 * (x * rx + y * ry) / (x * -dx + y * -dy + z * -dz)) < 200 AND ABS(160.0 * (x * ux + y * uy + z * uz) / (x * -dx + y * -dy + z * -dz)) < 200)) GROUP BY 1, 2),
+w AS (SELECT k.object_id, k.preset, k.i, f.steps, EXISTS (SELECT 1 FROM {{objects}} b WHERE b.scene_id = k.scene_id AND k.px BETWEEN b.min_x AND b.max_x AND k.py BETWEEN b.min_y AND b.max_y AND k.pz BETWEEN b.min_z AND b.max_z) AS inside, EXISTS (SELECT 1 FROM {{rooms}} r WHERE r.scene_id = k.scene_id AND k.px >= r.x0 AND k.px < r.x1 AND k.py >= r.y0 AND k.py < r.y1) AS home, far FROM k JOIN f ON f.object_id = k.object_id AND f.preset = k.preset AND k.i <= f.steps)
+SELECT object_id, preset, steps, CASE WHEN BOOL_OR(inside) THEN 'blocked' WHEN NOT BOOL_AND(home) THEN 'outside' END AS reason, CASE WHEN NOT BOOL_OR(inside) AND BOOL_AND(home) THEN ROUND(MAX(far), 6) END AS far FROM w GROUP BY 1, 2, 3""")
+def preset_views(spark, sf_dir):
+    """Twenty preset views of each object; the SQL tries step by step."""
+    rooms, objects = scenery(spark, sf_dir)
+    out = V.preset_views(objects, rooms, objects)
+    far = F.sqrt(sum(((F.col(f"p{a}") - F.col(f"t{a}")) * (F.col(f"p{a}") - F.col(f"t{a}")) for a in "xyz"), F.lit(0.0)))
+    return out.select("object_id", "preset", F.col("steps").cast("long").alias("steps"), "reason", F.round(far, 6).alias("far"))

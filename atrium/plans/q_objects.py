@@ -32,10 +32,10 @@ def object_dims(spark, sf_dir):
     return o.select("object_id", *(r6(G.center(a), f"c{a}") for a in "xyz"), r6(G.volume(), "volume"), r6(G.longest(), "longest"), r6(G.shortest(), "shortest"), r6(G.xy_max_dim(), "xy_max"), r6(G.footprint(), "footprint"))
 
 
-@query("SELECT object_id, label FROM {objects} WHERE LOWER(label) NOT IN ('lamp', 'book')")
+@query("SELECT object_id, label FROM {objects} WHERE LOWER(label) NOT IN ('lamp', 'table lamp', 'book')")
 def valid_objects(spark, sf_dir):
     (o,) = scene(spark, sf_dir, "objects")
-    return O.valid_objects(o, ("lamp", "book")).select("object_id", "label")
+    return O.valid_objects(o).select("object_id", "label")
 
 
 @query(f"SELECT scene_id, COUNT(*) AS n FROM {{objects}} WHERE LOWER(label) NOT IN ({named((*L.STRUCTURAL, *L.GENERIC))}) GROUP BY scene_id")
@@ -59,7 +59,7 @@ def label_group_table(spark, sf_dir):
 
 
 REASONS = """d AS (SELECT object_id, label, max_x - min_x AS a, max_y - min_y AS b, max_z - min_z AS c FROM {objects}),
-reasons AS (SELECT object_id, label, CASE WHEN label IN ('wall', 'floor', 'ceiling', 'room') THEN 'blacklisted' WHEN LEAST(a, b, c) < 0.2 THEN 'too_small_side'
+reasons AS (SELECT object_id, label, CASE WHEN label IN ('wall', 'floor', 'ceiling', 'room', 'lamp', 'table lamp', 'book', 'curtain', 'candle', 'rug') THEN 'blacklisted' WHEN LEAST(a, b, c) < 0.2 THEN 'too_small_side'
   WHEN GREATEST(a, b, c) > 0.9 THEN 'too_large' WHEN a * b * c < 0.1 THEN 'too_small_volume' WHEN LEAST(a, b, c) < 0.05 * GREATEST(a, b, c) THEN 'too_flat' END AS reason FROM d)"""
 
 

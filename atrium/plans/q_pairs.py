@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from atrium.functions import geometry as G
+from atrium.operators import groups
 from atrium.operators import objects as O
 from atrium.functions import labels as L
 from atrium.plans.label_sql import LAB
@@ -105,3 +106,42 @@ FROM c a JOIN c b ON a.room_id = b.room_id AND a.object_id < b.object_id AND a.l
 def union_boxes(spark, sf_dir):
     p = pairs(spark, sf_dir).where("a_label = b_label").select("room_id", *G.union_box("a_", "b_"))
     return p.groupBy("room_id").agg(F.count("*").alias("n"), F.round(F.sum(G.footprint()), 3).alias("area"))
+
+
+BOXD = "ROUND(SQRT(" + " + ".join(f"POW(GREATEST(0.0, {{a}}.min_{x} - {{b}}.max_{x}, {{b}}.min_{x} - {{a}}.max_{x}), 2)" for x in "xyz") + "), 9)"
+LONG = "GREATEST({0}.max_x - {0}.min_x, {0}.max_y - {0}.min_y, {0}.max_z - {0}.min_z)"
+
+
+def group_sql(k):
+    """SQL of all sets of k objects of a room, and why each is no group."""
+    names = "abcde"[:k]
+    pairs = [BOXD.format(a=p, b=q) for i, p in enumerate(names) for q in names[i + 1 :]]
+    sizes = [LONG.format(n) for n in names]
+    joins = " ".join(f"JOIN roomed {q} ON {q}.scene_id = {p}.scene_id AND {q}.room_id = {p}.room_id AND {q}.object_id > {p}.object_id" for p, q in zip(names, names[1:]))
+    ratio = lambda some: f"GREATEST({', '.join(some)}) / (LEAST({', '.join(some)}) + 1e-12)"
+    reach, grown = ("3.0", "TRUE") if k == 2 else ("2.0", " AND ".join(f"{ratio(sizes[:n])} <= 2.5" for n in range(2, k)))
+    two = "WHEN big - small > 2.0 THEN 'dim_diff' ", "WHEN wide > LEAST(3.0, 1.5 * mean) THEN 'out_of_dyn_range' "
+    more = two if k == 2 else ("", "")
+    one = (lambda f, xs: f"{f}({', '.join(xs)})") if k > 2 else (lambda f, xs: xs[0])
+    return f"""WITH {ROOMED}, s AS (SELECT {', '.join(f'{n}.object_id AS {n}_id' for n in names)}, {one('LEAST', pairs)} AS near, {one('GREATEST', pairs)} AS wide, GREATEST({', '.join(sizes)}) AS big, LEAST({', '.join(sizes)}) AS small, ({' + '.join(sizes)}) / {k} AS mean FROM roomed a {joins} WHERE {one('GREATEST', pairs)} <= {reach} AND {grown})
+SELECT {" || '-' || ".join(f'{n}_id' for n in names)} AS members, ROUND(near, 6) AS nearest, ROUND(wide, 6) AS widest, CASE WHEN big / (small + 1e-12) > 2.5 THEN 'size_ratio' {more[0]}WHEN near < GREATEST(0.1, 0.2 * mean) THEN 'too_close' {more[1]}END AS reason FROM s"""
+
+
+def group_rows(spark, sf_dir, k):
+    return groups.object_groups(roomed(spark, sf_dir), k).select(F.array_join(F.col("members").cast("array<string>"), "-").alias("members"), r6(F.col("nearest"), "nearest"), r6(F.col("widest"), "widest"), "reason")
+
+
+@query(group_sql(2))
+def object_groups_of_two(spark, sf_dir):
+    return group_rows(spark, sf_dir, 2)
+
+
+@query(group_sql(3))
+def object_groups_of_three(spark, sf_dir):
+    return group_rows(spark, sf_dir, 3)
+
+
+@query(f"SELECT LENGTH(members) - LENGTH(REPLACE(members, '-', '')) + 1 AS size, reason, COUNT(*) AS n, ROUND(MIN(nearest), 6) AS nearest FROM ({group_sql(4)}) GROUP BY 1, 2")
+def object_groups_of_four(spark, sf_dir):
+    """Counts by reject reason: sets of four are many."""
+    return groups.object_groups(roomed(spark, sf_dir), 4).groupBy(F.size("members").cast("long").alias("size"), "reason").agg(F.count("*").alias("n"), r6(F.min("nearest"), "nearest"))

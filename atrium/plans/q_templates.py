@@ -89,7 +89,7 @@ OCC = f"""{C2}, {BLOCKERS}, pr AS (SELECT a.scene_id, a.room_id, a.object_id AS
 ok AS (SELECT * FROM pr v WHERE far >= 0.001 AND EXISTS (SELECT 1 FROM {{rooms}} r WHERE r.scene_id = v.scene_id AND px >= x0 AND px < x1 AND py >= y0 AND py < y1)
   AND NOT EXISTS (SELECT 1 FROM roomed o WHERE o.scene_id = v.scene_id AND ((v.px BETWEEN o.min_x AND o.max_x AND v.py BETWEEN o.min_y AND o.max_y AND v.pz BETWEEN o.min_z AND o.max_z) OR POW(v.px - (o.min_x + o.max_x) / 2, 2) + POW(v.py - (o.min_y + o.max_y) / 2, 2) < 0.04))),
 cam AS (SELECT *, SQRT(POW(tx - px, 2) + POW(ty - py, 2) + POW(tz - pz, 2)) + 1e-8 AS size, (tx - px) / size AS gx, (ty - py) / size AS gy, (tz - pz) / size AS gz, SQRT(gx * gx + gy * gy) AS lev, gy / lev AS rx, -gx / lev AS ry, ry * gz AS ux, -rx * gz AS uy, rx * gy - ry * gx AS uz FROM ok),
-cor AS (SELECT *, (x - px) * gx + (y - py) * gy + (z - pz) * gz AS depth, 200.0 - 160.0 * ((x - px) * rx + (y - py) * ry) / depth AS u, 200.0 + 160.0 * ((x - px) * ux + (y - py) * uy + (z - pz) * uz) / depth AS w FROM
+cor AS (SELECT *, (x - px) * gx + (y - py) * gy + (z - pz) * gz AS depth, ROUND((200.0 - 160.0 * ((x - px) * rx + (y - py) * ry) / depth) * 1e6) / 1e6 AS u, ROUND((200.0 + 160.0 * ((x - px) * ux + (y - py) * uy + (z - pz) * uz) / depth) * 1e6) / 1e6 AS w FROM
   (SELECT *, UNNEST([min_z + LEAST(dz / 2 * 0.05, 0.05), max_z - LEAST(dz / 2 * 0.05, 0.05)]) AS z FROM (SELECT *, UNNEST([min_y + LEAST(dy / 2 * 0.05, 0.05), max_y - LEAST(dy / 2 * 0.05, 0.05)]) AS y FROM (SELECT *, UNNEST([min_x + LEAST(dx / 2 * 0.05, 0.05), max_x - LEAST(dx / 2 * 0.05, 0.05)]) AS x FROM cam)))),
 fr AS (SELECT * FROM cor WHERE depth > 1e-6 AND u >= 0 AND u < 400 AND w >= 0 AND w < 400),
 ray AS (SELECT s.occluder_id, s.object_id, s.x, s.y, s.z, {slabs()} FROM fr s JOIN bl b ON s.scene_id = b.scene_id AND s.object_id <> b.object_id WHERE NOT ({TOUCH})),

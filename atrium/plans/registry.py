@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import importlib
 from collections.abc import Callable
 
@@ -10,17 +11,37 @@ from pyspark.sql import DataFrame, SparkSession
 from atrium.plans.scenes import ctes
 
 FLAGSHIP = "view_object_visibility"
-MODULES = ("q_objects", "q_pairs", "q_tasks", "q_views", "q_texts", "q_jobs", "q_templates", "q_choices", "q_generators", "q_validators")
+MODULES = ("q_objects", "q_pairs", "q_tasks", "q_views", "q_texts", "q_jobs", "q_templates", "q_choices", "q_generators", "q_validators", "q_items")
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
 
 
+#: The JVM never compiles methods of more bytecodes than this.
+COMPILED = "8000"
+
+
+def tune(spark: SparkSession) -> None:
+    """Let a stage whose generated method the JVM would only interpret run operator by operator, in methods that it compiles.
+
+    Projections of eight corners make such methods: interpreted, they take three times as long. A session that has set the
+    limit itself keeps its own.
+    """
+    name = "spark.sql.codegen.hugeMethodLimit"
+    if spark.conf.get(name) == "65535":
+        spark.conf.set(name, COMPILED)
+
+
 def query(sql: str | None = None):
     """Register a function under its name; sql names derived views in braces."""
 
     def add(f):
-        _QUERIES[f.__name__] = f
+        @functools.wraps(f)
+        def tuned(spark, sf_dir):
+            tune(spark)
+            return f(spark, sf_dir)
+
+        _QUERIES[f.__name__] = tuned
         if sql:
             _ORACLES[f.__name__] = ctes(sql)
         return f
@@ -28,6 +49,11 @@ def query(sql: str | None = None):
     return add
 
 
+def oracle(name: str) -> str:
+    """The SQL registered for a query, to stand in that of another."""
+    return _ORACLES[name]
+
+
 def load() -> None:
     for name in MODULES:
         importlib.import_module(f"atrium.plans.{name}")
