@@ -10,7 +10,7 @@ from atrium.plans import registry
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-HEADLINE = ("object_dims", "assign_room", "unique_objects", "nearest_in_cells", "object_pair_distances", "distractor_labels", "legal_positions", "slot_over_trajectory", "coverage", "step_rewards", "path_length", "model_accuracy", "view_object_visibility", "bearings", "t01_category", "t04_larger", "t05_closer", "t06_clearance", "t08_straight_line", "t20_bearing_search", "t21_nearest_of_two", "t29_contact", "t33_passable")
+HEADLINE = ("object_dims", "assign_room", "unique_objects", "nearest_in_cells", "object_pair_distances", "distractor_labels", "legal_positions", "slot_over_trajectory", "coverage", "step_rewards", "path_length", "model_accuracy", "view_object_visibility", "bearings", "t01_category", "t04_larger", "t05_closer", "t06_clearance", "t08_straight_line", "t20_bearing_search", "t21_nearest_of_two", "t29_contact", "t33_passable", "object_groups_of_three", "preset_views", "task_items")
 
 
 def main() -> None:
