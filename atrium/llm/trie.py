@@ -107,8 +107,9 @@ def prefixes(turns: DataFrame, order: tuple[str, ...]) -> DataFrame:
     return run.select("conv_id", "depth", F.struct("a", "b").alias("id"), before.alias("parent"), "words")
 
 
-#: The root's id: the prefix of no turns.
-ROOT = F.struct(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"))
+def root_id() -> Column:
+    """The root's id: the prefix of no turns."""
+    return F.struct(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"))
 
 
 def rake(live: DataFrame, coin) -> DataFrame:
@@ -241,14 +242,14 @@ def prefix_trie(turns: DataFrame, members: DataFrame, order: tuple[str, ...] = (
     members = materialize(members.select("conv_id").distinct(), "members")
     own = paths.groupBy("id").agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs"), F.min("parent").alias("parent"), F.max("depth").alias("depth"), F.max("words").alias("words"))
     zero = F.lit(0).cast("long")
-    root = members.agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs")).where("n_convs > 0").select(ROOT.alias("id"), "conv_id", "n_convs", F.lit(None).cast(paths.schema["parent"].dataType).alias("parent"), zero.alias("depth"), zero.alias("words"))
+    root = members.agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs")).where("n_convs > 0").select(root_id().alias("id"), "conv_id", "n_convs", F.lit(None).cast(paths.schema["parent"].dataType).alias("parent"), zero.alias("depth"), zero.alias("words"))
     every = materialize(own.unionByName(root), "nodes")
     kids = every.where("parent IS NOT NULL").groupBy(F.col("parent").alias("to")).agg(F.count("*").alias("kids"))
     nodes = materialize(every.join(kids, F.col("id") == F.col("to"), "left").withColumn("kids", F.coalesce("kids", zero)).drop("to"), "nodes")
     weights = nodes.select("id", "parent", "depth", "kids", (F.col("kids") == 0).cast("long").alias("leaves"), ((F.col("n_convs") - 1) * F.col("words")).alias("saved"))
     totals = expand(contract(weights))
     last = paths.groupBy("conv_id").agg(F.max(F.struct("depth", "id")).alias("end")).select("conv_id", F.col("end.id").alias("id"))
-    bare = members.join(last, "conv_id", "left_anti").select("conv_id", ROOT.alias("id"))
+    bare = members.join(last, "conv_id", "left_anti").select("conv_id", root_id().alias("id"))
     ends = digests(materialize(last.unionByName(bare), "ends"))
     # Many nodes may hang on one parent: parents are broadcast if few by count, and else the join is left to
     # adaptive execution, which can split a parent of very many children.
