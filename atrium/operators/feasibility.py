@@ -325,6 +325,65 @@ def assembled(instances: DataFrame, catalog: dict[str, DataFrame], feasibility:
     return rows.select(*KEY, "gt_answer", "choices", "bound", "mode", F.when(done, F.col("steps")).alias("steps"), F.when(done, F.col("length")).alias("length"), F.when(done, asked).alias("coverage"), F.when(done, score).alias("score"), F.col("score").alias("init_score"), failure.alias("failure"))
 
 
+#: The actions of an agent in the order in which the first of equally good ones is taken: fixed values. The reference's
+#: moves to the sides go along (-y, x) of the forward direction for `move_right`, against it for `move_left`.
+ACTIONS = ("move_forward", "move_backward", "move_left", "move_right", "turn_left", "turn_right", "look_up", "look_down", "look_forward", "stop")
+LOOK, PITCH = 15.0, 75.0
+
+
+def action_poses(poses: DataFrame) -> DataFrame:
+    """(KEY, step, action, pose) after each of the ten actions at each frame (KEY, step, pose, move_m, turn_deg).
+
+    Looks turn the pitch by LOOK degrees, up to PITCH either way; a view without a direction doesn't move. Other columns go.
+    """
+    rows = poses.select(*KEY, "step", "move_m", "turn_deg", *POSE, F.posexplode(F.array(*map(F.lit, ACTIONS))).alias("action", "name"))
+    n, p, t = F.col("name"), [F.col(f"p{a}") for a in G.AXES], [F.col(f"t{a}") for a in G.AXES]
+    rel = [b - a for a, b in zip(p, t)]
+    size, level = F.sqrt(rel[0] * rel[0] + rel[1] * rel[1] + rel[2] * rel[2]), F.sqrt(rel[0] * rel[0] + rel[1] * rel[1])
+    rows = rows.withColumns({"size_": size, "level_": level})
+    along = F.when(n == "move_forward", F.col("move_m")).when(n == "move_backward", -F.col("move_m")).otherwise(F.lit(0.0))
+    side = F.when(n == "move_right", F.col("move_m")).when(n == "move_left", -F.col("move_m")).otherwise(F.lit(0.0))
+    yaw = F.radians(F.when(n == "turn_left", F.col("turn_deg")).when(n == "turn_right", -F.col("turn_deg")).otherwise(F.lit(0.0)))
+    unit = lambda x, by: F.coalesce(F.try_divide(x, F.when(F.col(by) > 1e-6, F.col(by))), F.lit(0.0))
+    step = [along * unit(rel[0], "size_") - side * unit(rel[1], "level_"), along * unit(rel[1], "size_") + side * unit(rel[0], "level_"), along * unit(rel[2], "size_")]
+    pitch = F.atan2(rel[2], F.col("level_")) + F.radians(F.when(n == "look_up", LOOK).otherwise(F.lit(-LOOK)))
+    pitch = F.greatest(F.radians(F.lit(-PITCH)), F.least(F.radians(F.lit(PITCH)), pitch))
+    looks, turned = n.isin("look_up", "look_down"), V.rotated(rel[0], rel[1], yaw)
+    ahead = [unit(rel[0], "level_"), F.when(F.col("level_") > 1e-6, unit(rel[1], "level_")).otherwise(F.lit(1.0))]
+    made = {f"n{a}": x + d for a, x, d in zip(G.AXES, p, step)}
+    made |= {f"m{a}": F.when(looks, p[k] + ahead[k] * F.col("size_") * F.cos(pitch)).otherwise(p[k] + step[k] + turned[k]) for k, a in enumerate("xy")}
+    made["mz"] = F.when(looks, p[2] + F.col("size_") * F.sin(pitch)).when(n == "look_forward", p[2]).otherwise(t[2] + step[2])
+    return rows.withColumns(made).select(*KEY, "step", "action", *(F.col(f"n{a}").alias(f"p{a}") for a in G.AXES), *(F.col(f"m{a}").alias(f"t{a}") for a in G.AXES))
+
+
+def distinct_poses(poses: DataFrame, digits: int = 6) -> tuple[DataFrame, DataFrame]:
+    """(views, names): each pose of an instance once, as views (KEY, grp, i, pose), and which i each (KEY, step, action) is."""
+    rounded = [F.round(c, digits).alias(f"r_{c}") for c in POSE]
+    rows = poses.select("*", *rounded).withColumn("id_", F.col("step") * len(ACTIONS) + F.col("action"))
+    keys = [*KEY, *(f"r_{c}" for c in POSE)]
+    first = written(rows.groupBy(*keys).agg(F.min(F.struct("id_", *POSE)).alias("m")))
+    views_ = first.select(*KEY, F.lit("act").alias("grp"), F.col("m.id_").alias("i"), *(F.col(f"m.{c}").alias(c) for c in POSE))
+    return views_, rows.join(first.select(*keys, F.col("m.id_").alias("i")), keys).select(*KEY, "step", "action", "i")
+
+
+def counterfactual(names: DataFrame, evaluated: DataFrame, slots: DataFrame, eps: float = 1e-6) -> DataFrame:
+    """Per instance what its steps gain in belief against what the best and a random valid action would: one row each.
+
+    names (KEY, step, action, i) are the valid actions with their poses' numbers, `stop` always among them: its pose is
+    the frame's own. Belief is the least share over slots, or whether a slot's quality check holds. Columns: n_steps,
+    mean_regret, cumulative_regret, mean_necessity, redundant_ratio and n_best, the steps that gain as much as the best.
+    """
+    checked = F.broadcast(slots.select("template_id", "slot_id", "quality"))
+    worth = F.when(F.col("quality") == "distance_balance_check", F.col("strict").cast("double")).otherwise(F.col("share"))
+    belief = evaluated.join(checked, ["template_id", "slot_id"]).groupBy(*KEY, "i").agg(F.min(worth).alias("belief"))
+    valued = names.join(belief, [*KEY, "i"])
+    own = valued.where(F.col("action") == ACTIONS.index("stop")).select(*KEY, "step", F.col("belief").alias("here"))
+    ahead = own.select(*KEY, (F.col("step") - 1).alias("step"), F.col("here").alias("there"))
+    steps = valued.join(own, [*KEY, "step"]).join(ahead, [*KEY, "step"]).groupBy(*KEY, "step", "here", "there").agg(F.max("belief").alias("top"))
+    regret, need = F.col("top") - F.col("there"), F.col("there") - F.col("here")
+    return steps.groupBy(*KEY).agg(F.count("*").alias("n_steps"), F.avg(regret).alias("mean_regret"), F.sum(regret).alias("cumulative_regret"), F.avg(need).alias("mean_necessity"), F.avg((need <= eps).cast("int")).alias("redundant_ratio"), F.count_if(F.abs(regret) <= eps).alias("n_best"))
+
+
 def every_slot(instances: DataFrame, slots: DataFrame, groups: tuple[str, ...] | None = None) -> DataFrame:
     """(KEY, grp, slot_id): all slots of an instance for the views of each slot, or for each of the groups named."""
     mine = instances.select(*KEY).join(F.broadcast(slots.select("template_id", "slot_id")), "template_id")
@@ -367,6 +426,15 @@ def planned(instances: DataFrame, catalog: dict[str, DataFrame], specs: list[dic
     if upto == "way":
         return out
     walked = written(frames(begun, way, poses, catalog["templates"]))
+    if upto == "regret":
+        sizes = F.broadcast(catalog["templates"].select("template_id", "move_m", "turn_deg"))
+        moved = action_poses(walked.join(sizes, "template_id"))
+        rest = F.col("action") == ACTIONS.index("stop")
+        acted, names = distinct_poses(written(O.valid_positions(moved.where(~rest), rooms, objects).select(*moved.columns).unionByName(moved.where(rest))))
+        tried = every_slot(instances, slots, ("act",))
+        after = written(slots_at(acted, tried, bound, seen_by(acted, wanted_objects(tried, bound), objects, blockers), slots))
+        out["regret"] = counterfactual(names, after, slots)
+        return out
     steps = walked.select(*KEY, F.lit("way").alias("grp"), F.col("step").alias("i"), *POSE)
     tried = every_slot(instances, slots, ("way",))
     at_frames = written(slots_at(steps, tried, bound, seen_by(steps, wanted_objects(tried, bound), objects, blockers), slots))

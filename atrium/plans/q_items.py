@@ -194,11 +194,13 @@ def slot_ways(spark, sf_dir):
     return planned(spark, sf_dir, "way")["way"].select(*E.KEY, F.col("n_views"), F.round("length", 6).alias("length"), route.alias("route"))
 
 
-ITEMS = f"""lg AS (SELECT scene_id, template_id, key, 0 AS leg, f.px AS fx, f.py AS fy, f.pz AS fz, a.px, a.py, a.pz, a.tx, a.ty, a.tz FROM wy JOIN fv f USING (scene_id, template_id, key) UNION ALL SELECT scene_id, template_id, key, 1, a.px, a.py, a.pz, b.px, b.py, b.pz, b.tx, b.ty, b.tz FROM wy WHERE b IS NOT NULL),
+#: The frames of each way, a move apart.
+FRAMES = f"""lg AS (SELECT scene_id, template_id, key, 0 AS leg, f.px AS fx, f.py AS fy, f.pz AS fz, a.px, a.py, a.pz, a.tx, a.ty, a.tz FROM wy JOIN fv f USING (scene_id, template_id, key) UNION ALL SELECT scene_id, template_id, key, 1, a.px, a.py, a.pz, b.px, b.py, b.pz, b.tx, b.ty, b.tz FROM wy WHERE b IS NOT NULL),
 ln AS (SELECT *, CAST(GREATEST(1, CEIL(SQRT(POW(px - fx, 2) + POW(py - fy, 2)) / 0.5 - 1e-9)) AS INT) AS n FROM lg), lk AS (SELECT *, UNNEST(range(1, n + 1)) AS k FROM ln),
 fm AS (SELECT scene_id, template_id, key, leg, k, (1 - k / n) * fx + k / n * px AS px, (1 - k / n) * fy + k / n * py AS py, (1 - k / n) * fz + k / n * pz AS pz, px AS ex, py AS ey, pz AS ez, tx AS lx, ty AS ly, tz AS lz, n FROM lk),
 wk AS MATERIALIZED (SELECT scene_id, template_id, key, 'way' AS grp, ROW_NUMBER() OVER (PARTITION BY scene_id, template_id, key ORDER BY leg, k) - 1 AS i, px, py, pz, tx, ty, tz FROM (SELECT scene_id, template_id, key, leg, k, px, py, pz, CASE WHEN k = n THEN lx ELSE px + lx - ex END AS tx, CASE WHEN k = n THEN ly ELSE py + ly - ey END AS ty, CASE WHEN k = n THEN lz ELSE pz + lz - ez END AS tz FROM fm
-  UNION ALL SELECT scene_id, template_id, key, -1, 0, f.px, f.py, f.pz, f.tx, f.ty, f.tz FROM wy JOIN fv f USING (scene_id, template_id, key))),
+  UNION ALL SELECT scene_id, template_id, key, -1, 0, f.px, f.py, f.pz, f.tx, f.ty, f.tz FROM wy JOIN fv f USING (scene_id, template_id, key)))"""
+ITEMS = f"""{FRAMES},
 wt AS (SELECT ti.scene_id, ti.template_id, key, 'way' AS grp, slot_id FROM ti JOIN sl ON sl.template_id = ti.template_id), wb AS (SELECT DISTINCT t.scene_id, t.template_id, t.key, 'way' AS grp, object_id FROM ob t),
 {looking('wk', 'wb', 'visw')}, {met('wk', 'wt', 'visw', 'wmet')},
 ls AS (SELECT scene_id, template_id, key, MAX(i) AS steps FROM wk GROUP BY ALL), bk AS (SELECT DISTINCT scene_id, template_id, key FROM (SELECT * FROM wk WHERE i > 0) w WHERE NOT EXISTS (SELECT 1 FROM (SELECT * FROM wk p {free('p.pz')}) g WHERE {SAME.format('g', 'w')} AND g.i = w.i)),
@@ -215,3 +217,24 @@ def task_items(spark, sf_dir):
     out = planned(spark, sf_dir, "items")["items"]
     hard = F.when(F.col("failure").isNull(), X.difficulty(F.col("steps")))
     return out.select(*E.KEY, "gt_answer", F.round("init_score", 6).alias("init_score"), "steps", F.round("length", 6).alias("length"), "coverage", F.round("score", 6).alias("score"), "failure", hard.alias("difficulty"))
+
+
+ACTED = f"""ac(a, along, side, turn, look) AS (VALUES (0, 0.5::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE), (1, -0.5, 0, 0, 0), (2, 0, -0.5, 0, 0), (3, 0, 0.5, 0, 0), (4, 0, 0, 45, 0), (5, 0, 0, -45, 0), (6, 0, 0, 0, 15), (7, 0, 0, 0, -15), (8, 0, 0, 0, 0), (9, 0, 0, 0, 0)),
+w0 AS (SELECT w.*, tx - px AS dx, ty - py AS dy, tz - pz AS dz, SQRT(dx * dx + dy * dy + dz * dz) AS sz, SQRT(dx * dx + dy * dy) AS lv FROM wk w),
+w3 AS (SELECT scene_id, template_id, key, 'act' AS grp, i * 10 + a AS i, a, px + along * dx / sz - side * dy / lv AS px, py + along * dy / sz + side * dx / lv AS py, pz + along * dz / sz AS pz,
+  CASE WHEN look <> 0 THEN px + dx / lv * sz * COS(GREATEST(RADIANS(-75), LEAST(RADIANS(75), ATAN2(dz, lv) + RADIANS(look)))) ELSE px + along * dx / sz - side * dy / lv + dx * COS(RADIANS(turn)) - dy * SIN(RADIANS(turn)) END AS tx,
+  CASE WHEN look <> 0 THEN py + dy / lv * sz * COS(GREATEST(RADIANS(-75), LEAST(RADIANS(75), ATAN2(dz, lv) + RADIANS(look)))) ELSE py + along * dy / sz + side * dx / lv + dx * SIN(RADIANS(turn)) + dy * COS(RADIANS(turn)) END AS ty,
+  CASE WHEN look <> 0 THEN pz + sz * SIN(GREATEST(RADIANS(-75), LEAST(RADIANS(75), ATAN2(dz, lv) + RADIANS(look)))) WHEN a = 8 THEN pz ELSE tz + along * dz / sz END AS tz FROM w0, ac),
+av AS MATERIALIZED (SELECT p.* FROM w3 p {free('p.pz')} WHERE a <> 9 UNION ALL SELECT * FROM w3 WHERE a = 9),
+at_ AS (SELECT ti.scene_id, ti.template_id, key, 'act' AS grp, slot_id FROM ti JOIN sl ON sl.template_id = ti.template_id), ao AS (SELECT DISTINCT t.scene_id, t.template_id, t.key, 'act' AS grp, object_id FROM ob t),
+{looking('av', 'ao', 'visa')}, {met('av', 'at_', 'visa', 'amet')},
+be AS (SELECT m.scene_id, m.template_id, m.key, m.i // 10 AS step, m.i % 10 AS a, MIN(CASE WHEN sl.quality = 'balance' THEN strict::INT::DOUBLE ELSE k / n END) AS belief FROM amet m JOIN sl ON sl.template_id = m.template_id AND sl.slot_id = m.slot_id GROUP BY ALL),
+rg_ AS (SELECT b.scene_id, b.template_id, b.key, b.step, MAX(b.belief) AS top, ANY_VALUE(o.belief) AS here, ANY_VALUE(x.belief) AS there FROM be b JOIN be o ON {SAME.format('o', 'b')} AND o.step = b.step AND o.a = 9 JOIN be x ON {SAME.format('x', 'b')} AND x.step = b.step + 1 AND x.a = 9 GROUP BY b.scene_id, b.template_id, b.key, b.step)"""
+
+
+@query(braced(f"""WITH {BLOCKERS}, {chain()}, {first_sql()}, {way_sql()}, {FRAMES}, {ACTED} SELECT scene_id, template_id, key, COUNT(*) AS n_steps, ROUND(AVG(top - there), 5) AS mean_regret, ROUND(SUM(top - there), 5) AS cumulative_regret, ROUND(AVG(there - here), 5) AS mean_necessity,
+  ROUND(AVG((there - here <= 1e-6)::INT), 5) AS redundant_ratio, COUNT(*) FILTER (ABS(top - there) <= 1e-6) AS n_best FROM rg_ GROUP BY ALL"""))
+def action_regret(spark, sf_dir):
+    """What the steps of each way gain in belief, against the best of ten actions at each frame; equal poses are looked at once."""
+    out = planned(spark, sf_dir, "regret")["regret"]
+    return out.select(*E.KEY, "n_steps", *(F.round(c, 5).alias(c) for c in ("mean_regret", "cumulative_regret", "mean_necessity", "redundant_ratio")), "n_best")

@@ -229,3 +229,24 @@ def test_pandas_batches_of_one_view():
     rows = pd.DataFrame([{"scene_id": 1, "view_id": 1, "object_id": 1, "target": True, **cam, **far}, {"scene_id": 1, "view_id": 1, "object_id": 2, "target": False, **cam, **near}])
     out = image_area.view_areas(rows)
     assert out.target_px[0] == out.occluded_px[0] == 81 * 81
+
+
+def test_poses_after_actions_and_regret(spark):
+    names = "scene_id int, template_id string, key long, step long, move_m double, turn_deg double, px double, py double, pz double, tx double, ty double, tz double"
+    walked = spark.createDataFrame([(1, "T1", 5, k, 0.5, 90.0, 0.5 * k, 0.0, 0.8, 0.5 * k + 1.0, 0.0, 0.8) for k in (0, 1)], names)
+    poses = feasibility.action_poses(walked)
+    got = {feasibility.ACTIONS[r.action]: tuple(round(r[c], 6) + 0.0 for c in ("px", "py", "pz", "tx", "ty", "tz")) for r in poses.where("step = 0").collect()}
+    up = (round(math.cos(math.radians(15)), 6), 0.0)
+    assert got["move_forward"] == (0.5, 0.0, 0.8, 1.5, 0.0, 0.8) and got["move_backward"] == (-0.5, 0.0, 0.8, 0.5, 0.0, 0.8)
+    assert got["move_right"] == (0.0, 0.5, 0.8, 1.0, 0.5, 0.8) and got["move_left"] == (0.0, -0.5, 0.8, 1.0, -0.5, 0.8)
+    assert got["turn_left"] == (0.0, 0.0, 0.8, 0.0, 1.0, 0.8) and got["turn_right"] == (0.0, 0.0, 0.8, 0.0, -1.0, 0.8)
+    assert got["look_up"] == (0.0, 0.0, 0.8, *up, round(0.8 + math.sin(math.radians(15)), 6)) and got["look_forward"] == got["stop"] == (0.0, 0.0, 0.8, 1.0, 0.0, 0.8)
+    views, known = feasibility.distinct_poses(poses)
+    # Of twenty poses, going forward from the first is the second's own, back from the second the first's, and looking ahead or stopping change nothing.
+    assert (views.count(), known.count()) == (16, 20)
+    slots = spark.createDataFrame([("T1", "s", None)], "template_id string, slot_id string, quality string")
+    met = views.selectExpr("scene_id", "template_id", "key", "i", "'s' AS slot_id", "CAST(px >= 0.25 AS DOUBLE) AS share", "px >= 0.25 AS strict")
+    row = feasibility.counterfactual(known, met, slots).first()
+    assert (row.n_steps, row.mean_regret, row.mean_necessity, row.redundant_ratio, row.n_best) == (1, 0.0, 1.0, 0.0, 1)
+    late = feasibility.counterfactual(known, met.withColumn("share", 1.0 - met.share), slots).first()
+    assert (late.mean_regret, late.mean_necessity, late.redundant_ratio, late.n_best) == (1.0, -1.0, 1.0, 0)
