@@ -138,7 +138,7 @@ def reachable_rooms(spark, sf_dir):
 
 
 @query("""WITH w AS (SELECT task_id, step, LEAD(px) OVER w - px AS dx, LEAD(py) OVER w - py AS dy FROM {traj_steps} WINDOW w AS (PARTITION BY task_id ORDER BY step)),
-h AS (SELECT task_id, step, DEGREES(ATAN2(dy, dx)) AS h FROM w WHERE dx IS NOT NULL), d AS (SELECT task_id, step, LEAD(h) OVER (PARTITION BY task_id ORDER BY step) - h AS d FROM h)
+h AS (SELECT task_id, step, DEGREES(ATAN2(dy, dx)) AS h FROM w WHERE dx IS NOT NULL), d AS (SELECT task_id, step, ROUND(LEAD(h) OVER (PARTITION BY task_id ORDER BY step) - h, 9) AS d FROM h)
 SELECT task_id, step, ROUND(CASE WHEN d > 180 THEN d - 360 WHEN d <= -180 THEN d + 360 ELSE d END, 6) AS turn FROM d WHERE d IS NOT NULL""")
 def heading_changes(spark, sf_dir):
     w = T.by_step()
