@@ -160,6 +160,16 @@ def raster(points):
     return inside
 
 
+def test_only_boxes_that_can_cover_a_target_are_drawn(monkeypatch):
+    drawn, draw = [], image_area.stretches
+    monkeypatch.setattr(image_area, "stretches", lambda u, *rest: drawn.append(len(u)) or draw(u, *rest))
+    cam = dict(zip(image_area.CAM, (0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, -1.0, 0.0, 0.0, 1.0)))
+    boxes = [(1, True, 4.0, 0.0), (2, False, 2.0, 0.3), (3, False, 6.0, 0.0), (4, False, 2.0, 9.0), (5, False, -3.0, 0.0)]
+    rows = pd.DataFrame([{"scene_id": 0, "view_id": 0, "object_id": k, "target": t, **cam, "min_x": x, "max_x": x + 0.5, "min_y": y - 0.5, "max_y": y + 0.5, "min_z": -0.5, "max_z": 0.5} for k, t, x, y in boxes])
+    (area,) = image_area.view_areas(rows).to_dict("records")
+    assert drawn == [2] and [o["object_id"] for o in area["occluders"]] == [2] and 0 < area["occluded_px"] < area["target_px"]
+
+
 def test_image_areas_equal_a_raster(spark):
     rng = np.random.default_rng(8)
     boxes = []
