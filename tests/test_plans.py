@@ -41,3 +41,10 @@ def test_candidates_are_made_in_many_tasks_and_stay_with_their_scene(spark):
     rows = spark.range(40).selectExpr("CAST(id % 7 AS INT) AS scene_id", "id AS key").coalesce(1)
     made = generators.draws(rows, 2)
     assert made.rdd.getNumPartitions() >= O.SHARES * spark.sparkContext.defaultParallelism and made.count() == 40 * 40
+
+
+def test_tasks_grow_with_the_tables(spark):
+    registry.tune(spark)
+    rows = spark.range(200_000).selectExpr("CAST(id % 5000 AS INT) AS scene_id", "id AS key", "rand(7) AS x")
+    dealt = rows.groupBy("scene_id").agg({"x": "max"}).withColumnRenamed("max(x)", "top").join(rows.hint(O.BUILT), "scene_id")
+    assert dealt.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism
