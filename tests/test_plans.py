@@ -48,3 +48,8 @@ def test_tasks_grow_with_the_tables(spark):
     rows = spark.range(200_000).selectExpr("CAST(id % 5000 AS INT) AS scene_id", "id AS key", "rand(7) AS x")
     dealt = rows.groupBy("scene_id").agg({"x": "max"}).withColumnRenamed("max(x)", "top").join(rows.hint(O.BUILT), "scene_id")
     assert dealt.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism
+
+
+def test_views_and_blockers_meet_without_sorting_pairs(spark):
+    text = plan(registry.queries()["view_object_visibility"](spark, SF_DIR))
+    assert sum("ShuffledHashJoin" in line and "b_scene_" in line for line in text.splitlines()) == 1
