@@ -53,3 +53,7 @@ def test_tasks_grow_with_the_tables(spark):
 def test_views_and_blockers_meet_without_sorting_pairs(spark):
     text = plan(registry.queries()["view_object_visibility"](spark, SF_DIR))
     assert sum("ShuffledHashJoin" in line and "b_scene_" in line for line in text.splitlines()) == 1
+
+
+def test_rays_that_hit_nothing_are_dropped_before_grouping(spark):
+    assert "Filter NOT (hides_" in plan(registry.queries()["view_object_visibility"](spark, SF_DIR))
