@@ -57,3 +57,8 @@ def test_views_and_blockers_meet_without_sorting_pairs(spark):
 
 def test_rays_that_hit_nothing_are_dropped_before_grouping(spark):
     assert "Filter NOT (hides_" in plan(registry.queries()["view_object_visibility"](spark, SF_DIR))
+
+
+def test_rooms_are_assigned_without_a_sort(spark):
+    text = plan(registry.queries()["assign_room"](spark, SF_DIR))
+    assert "HashAggregate" in text and "SortAggregate" not in text
