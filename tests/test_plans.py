@@ -62,3 +62,8 @@ def test_rays_that_hit_nothing_are_dropped_before_grouping(spark):
 def test_rooms_are_assigned_without_a_sort(spark):
     text = plan(registry.queries()["assign_room"](spark, SF_DIR))
     assert "HashAggregate" in text and "SortAggregate" not in text
+
+
+@pytest.mark.parametrize("name", ["pair_predicates", "newly_visible", "relative_position_items"])
+def test_visibility_that_is_used_twice_is_dealt_once_by_view(spark, name):
+    assert "REPARTITION_BY_COL" in plan(registry.queries()[name](spark, SF_DIR))
