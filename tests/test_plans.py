@@ -59,6 +59,11 @@ def test_rays_that_hit_nothing_are_dropped_before_grouping(spark):
     assert "Filter NOT (hides_" in plan(registry.queries()["view_object_visibility"](spark, SF_DIR))
 
 
+def test_objects_are_dealt_by_scene_before_they_become_cells(spark):
+    text = plan(registry.queries()["far_from_objects"](spark, SF_DIR))
+    assert 0 <= text.rfind("Generate explode") < text.find("REPARTITION_BY_NUM")
+
+
 def test_rooms_are_assigned_without_a_sort(spark):
     text = plan(registry.queries()["assign_room"](spark, SF_DIR))
     assert "HashAggregate" in text and "SortAggregate" not in text
