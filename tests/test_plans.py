@@ -19,7 +19,7 @@ def plan(df):
     return out.getvalue()
 
 
-GROWING = ["region_around_occluder_back", "region_around_pair", "region_breaking_projection", "region_of_triple", "region_orthogonal_to_segment", "region_with_separation", "valid_positions", "region_behind_front_object", "region_equidistant_to_pair", "preset_views", "view_pairs", "region_behind_object_face", "view_object_visibility", "not_blocked_by_next"]
+GROWING = ["region_around_occluder_back", "region_around_pair", "region_breaking_projection", "region_of_triple", "region_orthogonal_to_segment", "region_with_separation", "valid_positions", "region_behind_front_object", "region_equidistant_to_pair", "preset_views", "view_pairs", "region_behind_object_face", "view_object_visibility", "not_blocked_by_next", "region_around_object", "region_near_portal_facing", "region_orthogonal_to_portal", "region_inside_room", "region_room_positions", "ring_positions", "region_bearing_sector", "far_from_objects"]
 
 
 @pytest.mark.parametrize("name", GROWING)
